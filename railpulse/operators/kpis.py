@@ -19,7 +19,10 @@ from railpulse.constants import DELAYED_AVG_MINUTES, MIN_TRAINS_DOCUMENTED
 from railpulse.functions.weather import any_extreme, calm
 from railpulse.operators.ordering import lower_median
 
-AVG = F.col("avg_delay_minutes")
+
+def _avg() -> Column:
+    return F.col("avg_delay_minutes")
+
 
 # (output column, flag column or None for all days)
 MEDIAN_VARIANTS = (
@@ -31,10 +34,10 @@ MEDIAN_VARIANTS = (
 
 
 def _delayed_value(flag: str | None, threshold: float = DELAYED_AVG_MINUTES) -> Column:
-    cond = AVG > F.lit(threshold)
+    cond = _avg() > F.lit(threshold)
     if flag is not None:
         cond = (F.col(flag) == 1) & cond
-    return F.when(cond, AVG)
+    return F.when(cond, _avg())
 
 
 def kpi_median(unified: DataFrame, accuracy: int = 10000,
@@ -96,7 +99,7 @@ def kpi_delay_score(unified: DataFrame, min_trains: int = MIN_TRAINS_DOCUMENTED,
     g = (unified.where(F.col("train_count") > F.lit(min_trains))
                 .groupBy("station_name", "region")
                 .agg(F.count(F.lit(1)).alias("observed_days"),
-                     F.count_if(AVG > F.lit(threshold)).alias("delayed_days")))
+                     F.count_if(_avg() > F.lit(threshold)).alias("delayed_days")))
     s = g.withColumn("percent_delayed_days",
                      F.round(F.lit(100.0) * F.col("delayed_days") / F.col("observed_days"), 2))
     return _top(s, F.desc_nulls_last("percent_delayed_days"), top)
@@ -106,7 +109,7 @@ def kpi_delay_score_as_written(unified: DataFrame, threshold: float = DELAYED_AV
                                top: int | None = 10) -> DataFrame:
     """KPI 2 exactly as the warehouse SQL computes it: COUNT over a CASE with
     ELSE 0 counts every row, so delayed_days equals observed_days."""
-    counted = F.when(AVG > F.lit(threshold), F.lit(1)).otherwise(F.lit(0))
+    counted = F.when(_avg() > F.lit(threshold), F.lit(1)).otherwise(F.lit(0))
     g = (unified.groupBy("station_name", "region")
                 .agg(F.count(F.lit(1)).alias("observed_days"),
                      F.count(counted).alias("delayed_days")))
@@ -140,7 +143,7 @@ def kpi_resilience(unified: DataFrame, threshold: float | None = None,
     per_day = (unified.groupBy("station_name", "region", "date")
                       .agg(F.count(F.lit(1)).alias("_rows"),
                            F.max(F.when(ext, 1)).alias("_ext"),
-                           F.max(F.when(ext & (AVG <= limit), 1)).alias("_res")))
+                           F.max(F.when(ext & (_avg() <= limit), 1)).alias("_res")))
     g = (per_day.groupBy("station_name", "region")
                 .agg(F.sum("_rows").alias("observed_days"),
                      F.count(F.when(F.col("date").isNotNull(), F.col("_ext"))).alias("extreme_weather_days"),

@@ -1,0 +1,82 @@
+"""Raw records -> daily delays on hand-written rows."""
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from railpulse.constants import RAW_RECORDS
+from railpulse.functions.names import clean_name, station_of_record
+from railpulse.operators import delays as D
+
+d = dt.date
+
+
+def test_clean_name(spark):
+    rows = [('"Abc"',), ("\tAbc  ",), ('""',), ("  ",), ("A ",), (None,), ('B"c',)]
+    out = spark.createDataFrame(rows, "n STRING").select(clean_name("n").alias("c")).collect()
+    assert [r.c for r in out] == ["Abc", "Abc", "", "", "A", None, "Bc"]
+
+
+def test_station_of_record(spark):
+    rows = [("Szakasz",), ("InduloAllomas",), ("KozbensoAllomas",), ("ZaroSzakasz",), ("X",), (None,)]
+    df = spark.createDataFrame(rows, "record_type STRING").withColumn("origin", F.lit("o")) \
+        .withColumn("destination", F.lit("d"))
+    assert [r.s for r in df.select(station_of_record().alias("s")).collect()] == \
+        [None, "o", "o", "d", None, None]
+
+
+def records(spark):
+    rows = [
+        (d(2025, 6, 1), "InduloAllomas", '"A"', "x", 5.0),
+        (d(2025, 6, 1), "KozbensoAllomas", "A ", "x", 0.0),
+        (d(2025, 6, 1), "ZaroSzakasz", "x", "A", -1.0),
+        (d(2025, 6, 1), "ZaroSzakasz", "x", "A", None),
+        (d(2025, 6, 1), "Szakasz", "A", "A", 9.0),
+        (d(2025, 6, 1), "Egyeb", "A", "A", 9.0),
+        (d(2025, 6, 1), None, "A", "A", 9.0),
+        (d(2025, 6, 1), "InduloAllomas", "", "x", 3.0),
+        (d(2025, 6, 1), "InduloAllomas", None, "x", 3.0),
+        (d(2025, 6, 1), "InduloAllomas", '""', "x", 4.0),
+        (d(2025, 6, 2), "InduloAllomas", "\tB", "x", 7.0),
+        (d(2025, 5, 31), "InduloAllomas", "A", "x", 1.0),
+        (d(2025, 6, 3), "InduloAllomas", "A", "x", 1.0),
+    ]
+    return spark.createDataFrame(rows, RAW_RECORDS)
+
+
+def test_pipeline(spark):
+    recs = records(spark)
+    named = D.with_station_name(D.in_date_range(recs, "2025-06-01", "2025-06-02"))
+    assert named.count() == 6  # empty and NULL names dropped before trimming
+    clean = D.clean_records(named)
+    names = sorted(r.station_name for r in clean.collect())
+    assert names == ["", "A", "A", "A", "A", "B"]  # a quotes-only name survives as ''
+    kept = D.non_early(clean)
+    assert kept.count() == 4  # -1 and NULL go, 0 stays
+    daily = {(r.date, r.station_name): r for r in D.daily_station_delays(kept).collect()}
+    a = daily[(d(2025, 6, 1), "A")]
+    assert (a.total_delay_minutes, a.train_count, a.avg_delay_minutes) == (5.0, 2, 2.5)
+    stats = D.early_filter_counts(clean).collect()[0]
+    assert (stats.total_before, stats.total_after, stats.removed, stats.pct_kept) == (6, 4, 2, 66.7)
+
+
+def test_observation_counts_without_second_pass(spark):
+    clean = D.clean_records(D.with_station_name(records(spark)))
+    observed, obs = D.observe_early_filter(clean)
+    observed.write.format("noop").mode("overwrite").save()
+    assert obs.get == {"total_before": 8, "total_after": 6}
+
+
+def test_attach_station_id_keeps_unknown(spark):
+    daily = spark.createDataFrame([(d(2025, 6, 1), "A", 5.0, 1, 5.0), (d(2025, 6, 1), "Bus", 1.0, 1, 1.0)],
+                                  "date DATE, station_name STRING, total_delay_minutes DOUBLE, train_count INT, avg_delay_minutes DOUBLE")
+    lookup = spark.createDataFrame([(30, "A")], "station_id INT, station_name STRING")
+    out = {r.station_name: r.station_id for r in D.attach_station_id(daily, lookup).collect()}
+    assert out == {"A": 30, "Bus": None}
+
+
+def test_enforce_delay_schema_rejects_to_null(spark):
+    df = spark.createDataFrame([("2025-06-01", "A", "30", "2", "10", "0.2"), ("bad", "B", "", "x", "1", "1")],
+                               "date STRING, station_name STRING, station_id STRING, total_delay_minutes STRING, train_count STRING, avg_delay_minutes STRING")
+    rows = D.enforce_delay_schema(df).collect()
+    assert rows[0].date == d(2025, 6, 1) and rows[0].station_id == 30 and rows[0].train_count == 10
+    assert rows[1].date is None and rows[1].station_id is None and rows[1].total_delay_minutes is None
