@@ -4,7 +4,7 @@ week twice leaves the table unchanged."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 
 class PartialDayError(RuntimeError):
@@ -56,23 +56,30 @@ def check_whole_days(batch: DataFrame, table_path: str, spark: SparkSession,
 
 
 def append_days(batch: DataFrame, table_path: str, schema: T.StructType,
-                partition_col: str = "date", check_partial: bool = False) -> None:
+                partition_col: str = "date", check_partial: bool = False) -> int:
     """Insert a batch into a date-partitioned Parquet table, by column name.
 
     Only the partitions (days) present in the batch are replaced; other days
     stay. Re-running the same batch is therefore a no-op in effect. The batch
     is clustered on the partition column so each day is written by few tasks.
+    Returns the number of rows written, counted during the write itself.
     """
     spark = batch.sparkSession
     if check_partial:
         check_whole_days(batch, table_path, spark, partition_col)
     cols = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
+    obs = Observation("append_days")
     (batch.select(*cols)
+          .observe(obs, F.count(F.lit(1)).alias("rows"))
           .repartition(partition_col)
           .write.mode("overwrite")
           .option("partitionOverwriteMode", "dynamic")
           .partitionBy(partition_col)
           .parquet(table_path))
+    try:
+        return int(obs.get.get("rows", 0))
+    except Exception:  # no metrics row: no task ran, so no row was written
+        return 0
 
 
 def read_table(spark: SparkSession, table_path: str, schema: T.StructType) -> DataFrame:

@@ -63,10 +63,9 @@ def _batches_progress(q) -> tuple[int, int]:
 def start_delay_load(spark: SparkSession, landing: str, table_path: str, checkpoint: str):
     """Start the delay load (returns the running query)."""
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        typed = enforce_delay_schema(batch)
-        if typed.isEmpty():
+        # Written first, counted during the write: the batch is read once.
+        if append_days(enforce_delay_schema(batch), table_path, DELAYS_ALL) == 0:
             raise EmptyInputError(f"delay batch {epoch_id} holds no rows")
-        append_days(typed, table_path, DELAYS_ALL)
 
     return (delay_file_stream(spark, landing).writeStream
             .queryName(f"delay_load_{uuid.uuid4().hex[:8]}")
@@ -78,10 +77,8 @@ def start_delay_load(spark: SparkSession, landing: str, table_path: str, checkpo
 def start_weather_load(spark: SparkSession, landing: str, table_path: str, checkpoint: str):
     """Start the weather load (returns the running query)."""
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        rows = weather_from_responses(batch)
-        if rows.isEmpty():
+        if append_days(weather_from_responses(batch), table_path, WEATHER_ALL) == 0:
             raise EmptyInputError(f"weather batch {epoch_id} holds no rows")
-        append_days(rows, table_path, WEATHER_ALL)
 
     return (weather_file_stream(spark, landing).writeStream
             .queryName(f"weather_load_{uuid.uuid4().hex[:8]}")

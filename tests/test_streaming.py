@@ -1,0 +1,66 @@
+"""availableNow file loads and the weekly refresh."""
+import datetime as dt
+import json
+import os
+
+import pytest
+
+from railpulse.constants import DELAYS_ALL, WEATHER_ALL
+from railpulse.operators.quality import EmptyInputError
+from railpulse.sources import sinks as SK
+from railpulse.streaming import refresh as RF
+
+HEADER = "date,station_id,station_name,total_delay_minutes,train_count,avg_delay_minutes\n"
+
+
+def write_week(folder, start, rows):
+    end = (dt.date.fromisoformat(start) + dt.timedelta(days=6)).isoformat()
+    p = os.path.join(folder, f"delay_data_{start}_{end}.csv")
+    with open(p, "w") as f:
+        f.write(HEADER + "".join(rows))
+    return p
+
+
+def test_delay_load_processes_each_file_once(spark, tmp):
+    landing, table, ck = (os.path.join(tmp, x) for x in ("landing", "table", "ck"))
+    os.makedirs(landing)
+    write_week(landing, "2025-11-24", ["2025-11-24,30,Abaliget,2,10,0.2\n", "2025-11-25,,Bus,7,16,0.4375\n"])
+    r1 = RF.load_delays(spark, landing, table, ck)
+    assert r1.input_rows == 2
+    assert SK.read_table(spark, table, DELAYS_ALL).count() == 2
+    r2 = RF.load_delays(spark, landing, table, ck)
+    assert r2.input_rows == 0
+    write_week(landing, "2025-12-01", ["2025-12-01,30,Abaliget,4,10,0.4\n"])
+    r3 = RF.load_delays(spark, landing, table, ck)
+    assert r3.input_rows == 1
+    rows = SK.read_table(spark, table, DELAYS_ALL).collect()
+    assert len(rows) == 3 and sum(1 for r in rows if r.station_id is None) == 1
+
+
+def test_header_only_file_fails(spark, tmp):
+    landing, table, ck = (os.path.join(tmp, x) for x in ("landing", "table", "ck"))
+    os.makedirs(landing)
+    write_week(landing, "2025-11-24", [])
+    with pytest.raises(Exception) as e:
+        RF.load_delays(spark, landing, table, ck)
+    assert "holds no rows" in str(e.value) or isinstance(e.value, EmptyInputError)
+
+
+def test_refresh_end_to_end(spark, tmp):
+    j = lambda *p: os.path.join(tmp, *p)
+    os.makedirs(j("delays_in")); os.makedirs(j("weather_in"))
+    write_week(j("delays_in"), "2025-06-01", [f"2025-06-0{i},1,A,{7 * 11},11,7.0\n" for i in range(1, 4)])
+    doc = {"daily": {"time": ["2025-06-01", "2025-06-02", "2025-06-03"], "temperature_2m_mean": [30.0, 20.0, 20.0],
+                     "wind_gusts_10m_max": [10.0, 10.0, 10.0], "precipitation_sum": [0.0, 0.0, 0.0]}}
+    with open(j("weather_in", "weather_region_6.json"), "w") as f:
+        json.dump(doc, f)
+    spark.createDataFrame([("A", 47.5, 19.0, "Budapest", "Budapest", 6, 1)],
+                          "station_name STRING, latitude DOUBLE, longitude DOUBLE, county STRING, region STRING, region_id INT, station_id INT") \
+        .write.parquet(j("stations"))
+    paths = RF.RefreshPaths(j("delays_in"), j("weather_in"), j("delays"), j("weather"), j("stations"), j("ck"), j("out"))
+    summary = {(r.step.split("_load")[0], r.metric): r.value for r in RF.refresh(spark, paths).collect()}
+    assert summary[("delay", "input_rows")] == 3 and summary[("weather", "input_rows")] == 1
+    assert summary[("kpi_median", "kpi_rows")] == 1
+    k2 = spark.read.parquet(j("out", "kpi_delay_score")).collect()
+    assert k2[0].percent_delayed_days == 100.0
+    assert SK.read_table(spark, j("weather"), WEATHER_ALL).count() == 3
