@@ -44,7 +44,9 @@ class Domain:
         with _LOCK:
             got = _STATIONS.get(key)
             if got is None:
-                got = S.stations_regions(self.coords())
+                # Written once to the shared checkpoint folder, like the stored
+                # stations table every query reads.
+                got = S.stations_regions(self.coords()).checkpoint(eager=True)
                 _STATIONS[key] = got
         return got
 

@@ -61,7 +61,9 @@ def append_days(batch: DataFrame, table_path: str, schema: T.StructType,
 
     Only the partitions (days) present in the batch are replaced; other days
     stay. Re-running the same batch is therefore a no-op in effect. The batch
-    is clustered on the partition column so each day is written by few tasks.
+    is rebalanced on the partition column: each day goes to few writers, and
+    AQE splits a day that holds far more rows than the others across several
+    tasks instead of one.
     Returns the number of rows written, counted during the write itself.
     """
     spark = batch.sparkSession
@@ -71,7 +73,7 @@ def append_days(batch: DataFrame, table_path: str, schema: T.StructType,
     obs = Observation("append_days")
     (batch.select(*cols)
           .observe(obs, F.count(F.lit(1)).alias("rows"))
-          .repartition(partition_col)
+          .hint("rebalance", partition_col)
           .write.mode("overwrite")
           .option("partitionOverwriteMode", "dynamic")
           .partitionBy(partition_col)
