@@ -40,7 +40,7 @@ class Domain:
 
     # -- stations ------------------------------------------------------------
     def stations(self) -> DataFrame:
-        key = (id(self.spark._jsparkSession), self.sf_dir)
+        key = (id(getattr(self.spark, "_jsparkSession", self.spark)), self.sf_dir)
         with _LOCK:
             got = _STATIONS.get(key)
             if got is None:

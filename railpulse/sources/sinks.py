@@ -17,8 +17,14 @@ def write_staged_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def export_csv(df: DataFrame, path: str, null_text: str = "") -> None:
-    """CSV export, NULL written as ``null_text`` (empty by default)."""
+def export_csv(df: DataFrame, path: str, null_text: str = "",
+               sort_cols: list[str] | None = None) -> None:
+    """CSV export, NULL written as ``null_text`` (empty by default).
+
+    ``sort_cols`` orders the output (e.g. date, station name for the daily
+    delays): a distributed range sort, files written in key order."""
+    if sort_cols:
+        df = df.orderBy(*sort_cols)
     df.write.mode("overwrite").option("header", True).option("nullValue", null_text) \
         .option("emptyValue", "\"\"").csv(path)
 
@@ -48,7 +54,10 @@ def check_whole_days(batch: DataFrame, table_path: str, spark: SparkSession,
     except Exception:  # first load: nothing stored yet
         return
     new_days = batch.groupBy(date_col).agg(F.count(F.lit(1)).alias("_new"))
-    old_days = stored.groupBy(date_col).agg(F.count(F.lit(1)).alias("_old"))
+    # Only the batch's days are read back: the semi join lets dynamic
+    # partition pruning skip every other date partition of the stored table.
+    old_days = (stored.join(new_days.select(date_col), date_col, "left_semi")
+                      .groupBy(date_col).agg(F.count(F.lit(1)).alias("_old")))
     shrunk = new_days.join(old_days, date_col).where(F.col("_new") < F.col("_old"))
     if not shrunk.isEmpty():
         raise PartialDayError(

@@ -79,3 +79,32 @@ def test_newest_week_file(spark, tmp):
     r = R.newest_week_file(spark, tmp).collect()[0]
     assert r.file_name == "delay_data_2025-12-01_2025-12-07.csv"
     assert (r.start_date, r.end_date) == (d(2025, 12, 1), d(2025, 12, 7))
+
+
+def test_staged_csv_views_database_and_guard(spark, tmp):
+    from railpulse.operators.quality import EmptyInputError, require_rows
+    df = week(spark, 1, 2)
+    SK.write_staged_csv(df, os.path.join(tmp, "staged"))
+    back = R.read_delay_csv(spark, os.path.join(tmp, "staged"))
+    assert back.count() == 4
+    SK.stage_view(back, "delays_staged_w1")
+    assert spark.sql("SELECT COUNT(*) AS n FROM delays_staged_w1").collect()[0].n == 4
+    SK.create_database(spark, "delays_weather")
+    assert "delays_weather" in [d.name for d in spark.catalog.listDatabases()]
+    assert require_rows(back, "staged") is back
+    with pytest.raises(EmptyInputError):
+        require_rows(back.where("1 = 0"), "empty week")
+
+
+def test_sorted_export_and_raw_csv(spark, tmp):
+    out = os.path.join(tmp, "daily")
+    SK.export_csv(week(spark, 1, 3), out, sort_cols=["date", "station_name"])
+    rows = spark.read.option("header", True).csv(out).collect()
+    keys = [(r.date, r.station_name) for r in rows]
+    assert len(keys) == 6
+    p = os.path.join(tmp, "raw.csv")
+    with open(p, "w") as f:
+        f.write("service_date,record_type,origin,destination,delay\n2025-06-01,InduloAllomas,A,B,3\nbad,ZaroSzakasz,A,B,x\n")
+    raw = R.read_raw_records(spark, p, fmt="csv").collect()
+    assert raw[0].service_date == d(2025, 6, 1) and raw[0].delay == 3.0
+    assert raw[1].service_date is None and raw[1].delay is None
