@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from railpulse.constants import DELAYED_AVG_MINUTES, MIN_TRAINS_DOCUMENTED
 from railpulse.functions.weather import any_extreme, calm
 from railpulse.operators.ordering import lower_median
+from railpulse.session import ensure_checkpoint_dir
 
 
 def _avg() -> Column:
@@ -131,23 +132,36 @@ def kpi_resilience(unified: DataFrame, threshold: float | None = None,
     decimal, NULL without extreme days); the ``top`` least resilient
     stations, NULL scores last (ties: more observed days, then name).
 
-    ``threshold=None`` uses the calm-day mean as the SQL does (an
-    uncorrelated scalar subquery, evaluated once); a number uses that fixed
-    value as the documentation describes."""
-    limit = calm_mean(unified).select("calm_avg_delay").scalar() if threshold is None \
-        else F.lit(float(threshold))
+    ``threshold=None`` uses the calm-day mean as the SQL does (a scalar
+    subquery over the checkpointed per-day aggregate); a number uses that
+    fixed value as the documentation describes."""
     ext = any_extreme()
-    # Level 1: one row per (station, region, date) -> a station holding many
-    # rows is combined map-side before its shuffle; the distinct count of
-    # dates becomes a plain count at level 2.
+    # Level 1: one row per (station, region, date), combined map-side before
+    # its shuffle. A day is resilient when the smallest average among its
+    # extreme rows is within the threshold, so this level does not depend on
+    # the threshold; it also carries the calm-day partial sums. The threshold
+    # subquery and the per-station aggregate both read this one aggregate, so
+    # its exchange is shared and the input is scanned once.
     per_day = (unified.groupBy("station_name", "region", "date")
                       .agg(F.count(F.lit(1)).alias("_rows"),
                            F.max(F.when(ext, 1)).alias("_ext"),
-                           F.max(F.when(ext & (_avg() <= limit), 1)).alias("_res")))
+                           F.min(F.when(ext, _avg())).alias("_ext_min_avg"),
+                           F.sum(F.when(calm(), _avg())).alias("_calm_sum"),
+                           F.count(F.when(calm(), _avg())).alias("_calm_n")))
+    if threshold is None:
+        # The threshold needs a full pass before the per-station pass can use
+        # it: materialise the (station-day sized) aggregate once in the shared
+        # checkpoint folder so the input is not scanned twice.
+        ensure_checkpoint_dir(unified.sparkSession)
+        per_day = per_day.checkpoint(eager=True)
+        limit = per_day.agg((F.sum("_calm_sum") / F.sum("_calm_n")).alias("t")).scalar()
+    else:
+        limit = F.lit(float(threshold))
+    dated = F.col("date").isNotNull()
     g = (per_day.groupBy("station_name", "region")
                 .agg(F.sum("_rows").alias("observed_days"),
-                     F.count(F.when(F.col("date").isNotNull(), F.col("_ext"))).alias("extreme_weather_days"),
-                     F.count(F.when(F.col("date").isNotNull(), F.col("_res"))).alias("resilient_days")))
+                     F.count(F.when(dated, F.col("_ext"))).alias("extreme_weather_days"),
+                     F.count(F.when(dated & (F.col("_ext_min_avg") <= limit), 1)).alias("resilient_days")))
     s = g.withColumn("resilience_score_pct", F.round(
         F.col("resilient_days").cast("double") / F.nullif(F.col("extreme_weather_days"), F.lit(0))
         * F.lit(100), 1))
