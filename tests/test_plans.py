@@ -38,3 +38,25 @@ def test_resilience_subquery_runs_once(spark):
     from railpulse.operators.kpis import kpi_resilience
     p = kpi_resilience(Domain(spark, SF).unified())._jdf.queryExecution().optimizedPlan().toString()
     assert p.count("scalar-subquery") <= 2
+
+
+def test_hot_station_is_combined_before_the_shuffle(spark):
+    """One station holds a third of all records: the totals stay exact and
+    the aggregate is partial (map-side) below its exchange."""
+    import datetime as dt
+    from pyspark.sql import functions as F
+    from railpulse.operators import delays as D
+    n = 30000
+    base = spark.range(n).select(
+        F.lit(dt.date(2025, 6, 1)).alias("service_date"),
+        F.lit("InduloAllomas").alias("record_type"),
+        F.when(F.col("id") % 3 == 0, F.lit("Hot")).otherwise(F.concat(F.lit("S"), (F.col("id") % 97).cast("string"))).alias("origin"),
+        F.lit("x").alias("destination"),
+        (F.col("id") % 11).cast("double").alias("delay"))
+    recs = base
+    daily = D.daily_station_delays(D.non_early(D.clean_records(D.with_station_name(recs))))
+    hot = daily.where("station_name = 'Hot'").collect()[0]
+    expect = sum(i % 11 for i in range(0, n, 3))
+    assert hot.train_count == n // 3 and hot.total_delay_minutes == expect
+    p = daily._jdf.queryExecution().executedPlan().toString()
+    assert "partial_sum" in p and p.index("Exchange hashpartitioning") < p.rindex("partial_sum")
