@@ -60,3 +60,17 @@ def test_hot_station_is_combined_before_the_shuffle(spark):
     assert hot.train_count == n // 3 and hot.total_delay_minutes == expect
     p = daily._jdf.queryExecution().executedPlan().toString()
     assert "partial_sum" in p and p.index("Exchange hashpartitioning") < p.rindex("partial_sum")
+
+
+def test_date_range_reaches_a_stored_raw_table(spark, tmp):
+    """Raw records stored with a service_date column: the range filter is a
+    pushed filter on a plain scan and prunes date partitions."""
+    import os
+    from railpulse.operators.delays import in_date_range
+    from railpulse.sources.readers import read_raw_records
+    path = os.path.join(tmp, "raw")
+    Domain(spark, SF).records().write.partitionBy("service_date").parquet(path)
+    df = in_date_range(read_raw_records(spark, path), "2024-01-08", "2024-01-14").select("delay")
+    p = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(service_date" in p and "service_date" in p.split("PartitionFilters:")[1][:200]
+    assert df.count() == Domain(spark, SF).records().where("service_date between '2024-01-08' and '2024-01-14'").count()
