@@ -66,9 +66,5 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}{sep}tables/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
 __all__ = ["build_session", "checkpoint_dir", "ensure_checkpoint_dir", "scratch_path",
-           "DEFAULT_CONF", "local_path"]
+           "DEFAULT_CONF"]
