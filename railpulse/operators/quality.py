@@ -27,7 +27,7 @@ def unmatched_stations(daily: DataFrame, lookup: DataFrame) -> DataFrame:
 
 def dq_stations(stations: DataFrame) -> DataFrame:
     """One row: stations, and how many lack a county, region, region id or
-    station id, or have a blank name."""
+    station id, have a blank name, or lost a coordinate to a failed cast."""
     return stations.agg(
         F.count(F.lit(1)).alias("stations"),
         F.count_if(F.col("county").isNull()).alias("without_county"),
@@ -35,6 +35,7 @@ def dq_stations(stations: DataFrame) -> DataFrame:
         F.count_if(F.col("region_id").isNull()).alias("without_region_id"),
         F.count_if(F.col("station_id").isNull()).alias("without_station_id"),
         F.count_if(F.col("station_name").isNull() | (F.col("station_name") == "")).alias("blank_names"),
+        F.count_if(F.col("latitude").isNull() | F.col("longitude").isNull()).alias("without_coordinates"),
     )
 
 

@@ -285,7 +285,8 @@ SELECT COUNT(*) AS stations,
        COUNT(*) FILTER (WHERE region IS NULL) AS without_region,
        COUNT(*) FILTER (WHERE region_id IS NULL) AS without_region_id,
        COUNT(*) FILTER (WHERE station_id IS NULL) AS without_station_id,
-       COUNT(*) FILTER (WHERE station_name IS NULL OR station_name = '') AS blank_names
+       COUNT(*) FILTER (WHERE station_name IS NULL OR station_name = '') AS blank_names,
+       COUNT(*) FILTER (WHERE latitude IS NULL OR longitude IS NULL) AS without_coordinates
 FROM stations""",
     "dq_duplicate_keys": with_("stations", "lookup", "weather", "delays") + " UNION ALL ".join(
         f"""

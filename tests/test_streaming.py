@@ -64,3 +64,19 @@ def test_refresh_end_to_end(spark, tmp):
     k2 = spark.read.parquet(j("out", "kpi_delay_score")).collect()
     assert k2[0].percent_delayed_days == 100.0
     assert SK.read_table(spark, j("weather"), WEATHER_ALL).count() == 3
+
+
+def test_failed_load_stops_the_refresh(spark, tmp):
+    j = lambda *p: os.path.join(tmp, *p)
+    os.makedirs(j("delays_in")); os.makedirs(j("weather_in"))
+    write_week(j("delays_in"), "2025-06-01", ["2025-06-01,1,A,77,11,7.0\n"])
+    with open(j("weather_in", "weather_region_6.json"), "w") as f:
+        json.dump({"daily": {"time": [], "temperature_2m_mean": [], "wind_gusts_10m_max": [],
+                             "precipitation_sum": []}}, f)
+    spark.createDataFrame([("A", 47.5, 19.0, "Budapest", "Budapest", 6, 1)],
+                          "station_name STRING, latitude DOUBLE, longitude DOUBLE, county STRING, region STRING, region_id INT, station_id INT") \
+        .write.parquet(j("stations"))
+    paths = RF.RefreshPaths(j("delays_in"), j("weather_in"), j("delays"), j("weather"), j("stations"), j("ck"), j("out"))
+    with pytest.raises(Exception):
+        RF.refresh(spark, paths)
+    assert not os.path.exists(j("out"))
