@@ -28,9 +28,17 @@ from railpulse.sources.readers import read_delay_csv
 from railpulse.sources.sinks import append_days, read_table, write_result
 
 
-def delay_file_stream(spark: SparkSession, folder: str, glob: str = WEEK_FILE_GLOB) -> DataFrame:
+def _reader(spark: SparkSession, max_files: int | None):
+    r = spark.readStream
+    # availableNow honours this limit: a large backlog of landed files is
+    # processed in several bounded micro-batches instead of one huge one.
+    return r.option("maxFilesPerTrigger", max_files) if max_files else r
+
+
+def delay_file_stream(spark: SparkSession, folder: str, glob: str = WEEK_FILE_GLOB,
+                      max_files: int | None = None) -> DataFrame:
     """New weekly delay CSVs (header, by name) with the week each file covers."""
-    raw = (spark.readStream.schema(all_strings(DELAYS_ALL)).option("header", True)
+    raw = (_reader(spark, max_files).schema(all_strings(DELAYS_ALL)).option("header", True)
                 .option("enforceSchema", False).option("nullValue", "")
                 .option("pathGlobFilter", glob).csv(folder))
     start, end = week_bounds(F.col("_metadata.file_name"))
@@ -38,10 +46,11 @@ def delay_file_stream(spark: SparkSession, folder: str, glob: str = WEEK_FILE_GL
                .withColumn("file_name", F.col("_metadata.file_name")))
 
 
-def weather_file_stream(spark: SparkSession, folder: str, glob: str = "*.json") -> DataFrame:
+def weather_file_stream(spark: SparkSession, folder: str, glob: str = "*.json",
+                        max_files: int | None = None) -> DataFrame:
     """New weather responses, one JSON document per file; region id from the
     file name."""
-    raw = (spark.readStream.schema(WEATHER_RESPONSE).option("multiLine", True)
+    raw = (_reader(spark, max_files).schema(WEATHER_RESPONSE).option("multiLine", True)
                 .option("pathGlobFilter", glob).json(folder))
     return raw.withColumn(
         "region_id",
@@ -60,27 +69,29 @@ def _batches_progress(q) -> tuple[int, int]:
     return len(prog), sum(int(p["numInputRows"]) for p in prog)
 
 
-def start_delay_load(spark: SparkSession, landing: str, table_path: str, checkpoint: str):
+def start_delay_load(spark: SparkSession, landing: str, table_path: str, checkpoint: str,
+                     max_files: int | None = None):
     """Start the delay load (returns the running query)."""
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
         # Written first, counted during the write: the batch is read once.
         if append_days(enforce_delay_schema(batch), table_path, DELAYS_ALL) == 0:
             raise EmptyInputError(f"delay batch {epoch_id} holds no rows")
 
-    return (delay_file_stream(spark, landing).writeStream
+    return (delay_file_stream(spark, landing, max_files=max_files).writeStream
             .queryName(f"delay_load_{uuid.uuid4().hex[:8]}")
             .trigger(availableNow=True)
             .option("checkpointLocation", checkpoint)
             .foreachBatch(write_batch).start())
 
 
-def start_weather_load(spark: SparkSession, landing: str, table_path: str, checkpoint: str):
+def start_weather_load(spark: SparkSession, landing: str, table_path: str, checkpoint: str,
+                       max_files: int | None = None):
     """Start the weather load (returns the running query)."""
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
         if append_days(weather_from_responses(batch), table_path, WEATHER_ALL) == 0:
             raise EmptyInputError(f"weather batch {epoch_id} holds no rows")
 
-    return (weather_file_stream(spark, landing).writeStream
+    return (weather_file_stream(spark, landing, max_files=max_files).writeStream
             .queryName(f"weather_load_{uuid.uuid4().hex[:8]}")
             .trigger(availableNow=True)
             .option("checkpointLocation", checkpoint)
@@ -111,8 +122,9 @@ def _await(queries: list) -> list[LoadResult]:
     return results
 
 
-def load_delays(spark: SparkSession, landing: str, table_path: str, checkpoint: str) -> LoadResult:
-    return _await([start_delay_load(spark, landing, table_path, checkpoint)])[0]
+def load_delays(spark: SparkSession, landing: str, table_path: str, checkpoint: str,
+                max_files: int | None = None) -> LoadResult:
+    return _await([start_delay_load(spark, landing, table_path, checkpoint, max_files)])[0]
 
 
 def load_weather(spark: SparkSession, landing: str, table_path: str, checkpoint: str) -> LoadResult:

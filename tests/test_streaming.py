@@ -80,3 +80,13 @@ def test_failed_load_stops_the_refresh(spark, tmp):
     with pytest.raises(Exception):
         RF.refresh(spark, paths)
     assert not os.path.exists(j("out"))
+
+
+def test_backlog_in_bounded_batches(spark, tmp):
+    landing, table, ck = (os.path.join(tmp, x) for x in ("landing", "table", "ck"))
+    os.makedirs(landing)
+    for i, start in enumerate(["2025-11-03", "2025-11-10", "2025-11-17"]):
+        write_week(landing, start, [f"{start},30,Abaliget,{i},10,0.{i}\n"])
+    r = RF.load_delays(spark, landing, table, ck, max_files=1)
+    assert (r.batches, r.input_rows) == (3, 3)
+    assert SK.read_table(spark, table, DELAYS_ALL).count() == 3
