@@ -90,3 +90,19 @@ def test_backlog_in_bounded_batches(spark, tmp):
     r = RF.load_delays(spark, landing, table, ck, max_files=1)
     assert (r.batches, r.input_rows) == (3, 3)
     assert SK.read_table(spark, table, DELAYS_ALL).count() == 3
+
+
+def test_initial_batch_load_then_weekly_stream(spark, tmp):
+    init = os.path.join(tmp, "delay_data_initial.csv")
+    with open(init, "w") as f:
+        f.write(HEADER + "2025-06-01,30,Abaliget,2,10,0.2\n2025-06-01,,Bus,7,16,0.4375\n2025-06-02,33,Abaújszántó fürdő,7,16,0.4375\n")
+    table = os.path.join(tmp, "delays_all")
+    RF.initial_load(spark, init, table)
+    landing, ck = os.path.join(tmp, "landing"), os.path.join(tmp, "ck")
+    os.makedirs(landing)
+    write_week(landing, "2025-06-02", ["2025-06-02,33,Abaújszántó fürdő,9,16,0.5625\n"])
+    RF.load_delays(spark, landing, table, ck)
+    rows = {(str(r.date), r.station_name): r.total_delay_minutes for r in SK.read_table(spark, table, DELAYS_ALL).collect()}
+    # the weekly file replaces the whole day it carries; other days stay
+    assert rows == {("2025-06-01", "Abaliget"): 2.0, ("2025-06-01", "Bus"): 7.0,
+                    ("2025-06-02", "Abaújszántó fürdő"): 9.0}
