@@ -146,9 +146,9 @@ def kpi_resilience(unified: DataFrame, threshold: float | None = None,
     # Level 1: one row per (station, region, date), combined map-side before
     # its shuffle. A day is resilient when the smallest average among its
     # extreme rows is within the threshold, so this level does not depend on
-    # the threshold; it also carries the calm-day partial sums. The threshold
-    # subquery and the per-station aggregate both read this one aggregate, so
-    # its exchange is shared and the input is scanned once.
+    # the threshold; it also carries the calm-day partial sums, so the
+    # threshold subquery and the per-station aggregate both read this one
+    # aggregate.
     per_day = (unified.groupBy("station_name", "region", "date")
                       .agg(F.count(F.lit(1)).alias("_rows"),
                            F.max(F.when(ext, 1)).alias("_ext"),
