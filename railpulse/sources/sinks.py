@@ -65,7 +65,7 @@ def check_whole_days(batch: DataFrame, table_path: str, spark: SparkSession,
 
 
 def append_days(batch: DataFrame, table_path: str, schema: T.StructType,
-                partition_col: str = "date", check_partial: bool = False) -> int:
+                partition_col: str | list[str] = "date", check_partial: bool = False) -> int:
     """Insert a batch into a date-partitioned Parquet table, by column name.
 
     Only the partitions (days) present in the batch are replaced; other days
@@ -74,18 +74,23 @@ def append_days(batch: DataFrame, table_path: str, schema: T.StructType,
     AQE splits a day that holds far more rows than the others across several
     tasks instead of one.
     Returns the number of rows written, counted during the write itself.
+
+    ``partition_col`` may name several columns: a table fed one region per
+    file (weather) is partitioned by (date, region_id), so a file replaces its
+    own region-days and never the other regions of the same day.
     """
     spark = batch.sparkSession
+    parts = [partition_col] if isinstance(partition_col, str) else list(partition_col)
     if check_partial:
-        check_whole_days(batch, table_path, spark, partition_col)
+        check_whole_days(batch, table_path, spark, parts[0])
     cols = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
     obs = Observation("append_days")
     (batch.select(*cols)
           .observe(obs, F.count(F.lit(1)).alias("rows"))
-          .hint("rebalance", partition_col)
+          .hint("rebalance", *parts)
           .write.mode("overwrite")
           .option("partitionOverwriteMode", "dynamic")
-          .partitionBy(partition_col)
+          .partitionBy(*parts)
           .parquet(table_path))
     try:
         return int(obs.get.get("rows", 0))

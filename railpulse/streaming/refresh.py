@@ -35,6 +35,10 @@ def _reader(spark: SparkSession, max_files: int | None):
     return r.option("maxFilesPerTrigger", max_files) if max_files else r
 
 
+# One weather file covers one region: its rows replace (date, region) cells.
+WEATHER_PARTITIONS = ["date", "region_id"]
+
+
 def delay_file_stream(spark: SparkSession, folder: str, glob: str = WEEK_FILE_GLOB,
                       max_files: int | None = None) -> DataFrame:
     """New weekly delay CSVs (header, by name) with the week each file covers."""
@@ -88,7 +92,8 @@ def start_weather_load(spark: SparkSession, landing: str, table_path: str, check
                        max_files: int | None = None):
     """Start the weather load (returns the running query)."""
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        if append_days(weather_from_responses(batch), table_path, WEATHER_ALL) == 0:
+        if append_days(weather_from_responses(batch), table_path, WEATHER_ALL,
+                       partition_col=WEATHER_PARTITIONS) == 0:
             raise EmptyInputError(f"weather batch {epoch_id} holds no rows")
 
     return (weather_file_stream(spark, landing, max_files=max_files).writeStream

@@ -106,3 +106,18 @@ def test_initial_batch_load_then_weekly_stream(spark, tmp):
     # the weekly file replaces the whole day it carries; other days stay
     assert rows == {("2025-06-01", "Abaliget"): 2.0, ("2025-06-01", "Bus"): 7.0,
                     ("2025-06-02", "Abaújszántó fürdő"): 9.0}
+
+
+def test_weather_regions_in_separate_batches_keep_each_other(spark, tmp):
+    landing, table, ck = (os.path.join(tmp, x) for x in ("landing", "table", "ck"))
+    os.makedirs(landing)
+    for rid in (2, 6):
+        doc = {"daily": {"time": ["2025-06-01", "2025-06-02"], "temperature_2m_mean": [20.0, 30.0],
+                         "wind_gusts_10m_max": [10.0, 50.0], "precipitation_sum": [1.0, 6.0]}}
+        with open(os.path.join(landing, f"weather_region_{rid}.json"), "w") as f:
+            json.dump(doc, f)
+    r = RF._await([RF.start_weather_load(spark, landing, table, ck, max_files=1)])[0]
+    assert r.batches == 2
+    rows = SK.read_table(spark, table, WEATHER_ALL).collect()
+    assert sorted((r.region_id, str(r.date)) for r in rows) == [
+        (2, "2025-06-01"), (2, "2025-06-02"), (6, "2025-06-01"), (6, "2025-06-02")]
