@@ -77,9 +77,14 @@ def start_delay_load(spark: SparkSession, landing: str, table_path: str, checkpo
                      max_files: int | None = None):
     """Start the delay load (returns the running query)."""
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        # Written first, counted during the write: the batch is read once.
-        if append_days(enforce_delay_schema(batch), table_path, DELAYS_ALL) == 0:
-            raise EmptyInputError(f"delay batch {epoch_id} holds no rows")
+        # The batch is checked (no stored day may shrink) and then written:
+        # persisted for the two passes so the landed files are read once.
+        typed = enforce_delay_schema(batch).persist()
+        try:
+            if append_days(typed, table_path, DELAYS_ALL, check_partial=True) == 0:
+                raise EmptyInputError(f"delay batch {epoch_id} holds no rows")
+        finally:
+            typed.unpersist()
 
     return (delay_file_stream(spark, landing, max_files=max_files).writeStream
             .queryName(f"delay_load_{uuid.uuid4().hex[:8]}")

@@ -121,3 +121,14 @@ def test_weather_regions_in_separate_batches_keep_each_other(spark, tmp):
     rows = SK.read_table(spark, table, WEATHER_ALL).collect()
     assert sorted((r.region_id, str(r.date)) for r in rows) == [
         (2, "2025-06-01"), (2, "2025-06-02"), (6, "2025-06-01"), (6, "2025-06-02")]
+
+
+def test_partial_day_in_a_weekly_file_is_refused(spark, tmp):
+    landing, table, ck = (os.path.join(tmp, x) for x in ("landing", "table", "ck"))
+    os.makedirs(landing)
+    write_week(landing, "2025-11-24", ["2025-11-24,30,Abaliget,2,10,0.2\n", "2025-11-24,31,Abasar,3,10,0.3\n"])
+    RF.load_delays(spark, landing, table, ck)
+    write_week(landing, "2025-11-18", ["2025-11-24,30,Abaliget,5,10,0.5\n"])
+    with pytest.raises(Exception):
+        RF.load_delays(spark, landing, table, ck)
+    assert SK.read_table(spark, table, DELAYS_ALL).count() == 2
