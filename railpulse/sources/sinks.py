@@ -4,6 +4,7 @@ week twice leaves the table unchanged."""
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 
@@ -51,8 +52,10 @@ def check_whole_days(batch: DataFrame, table_path: str, spark: SparkSession,
     overwrite must carry each of its days whole."""
     try:
         stored = spark.read.parquet(table_path)
-    except Exception:  # first load: nothing stored yet
-        return
+    except AnalysisException as e:  # first load: nothing stored yet
+        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
+            return
+        raise
     new_days = batch.groupBy(date_col).agg(F.count(F.lit(1)).alias("_new"))
     # Only the batch's days are read back: the semi join lets dynamic
     # partition pruning skip every other date partition of the stored table.
