@@ -38,12 +38,16 @@ def build_session(master: str | None = None, app: str = "railpulse",
     return spark
 
 
+def _context_dir(spark: SparkSession) -> str | None:
+    try:
+        return spark.sparkContext.getCheckpointDir()
+    except Exception:  # a session without a local SparkContext (Spark Connect)
+        return None
+
+
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared folder the cluster names for checkpoints, if any."""
-    d = spark.sparkContext.getCheckpointDir()
-    if d:
-        return d
-    return spark.conf.get("spark.checkpoint.dir", None) or None
+    return _context_dir(spark) or spark.conf.get("spark.checkpoint.dir", None) or None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -52,10 +56,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     d = checkpoint_dir(spark)
     if not d:
         d = tempfile.mkdtemp(prefix="railpulse-ckpt-")
-        spark.sparkContext.setCheckpointDir(d)
-    elif not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(d)
-    return spark.sparkContext.getCheckpointDir() or d
+    if not _context_dir(spark):
+        try:
+            spark.sparkContext.setCheckpointDir(d)
+        except Exception:  # no local SparkContext: the session setting names it
+            spark.conf.set("spark.checkpoint.dir", d)
+    return _context_dir(spark) or d
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
