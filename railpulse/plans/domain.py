@@ -64,7 +64,7 @@ class Domain:
         return D.non_early(self.clean(start, end))
 
     def daily(self, start=None, end=None) -> DataFrame:
-        return D.daily_station_delays(self.kept(start, end))
+        return D.daily_station_delays_from_named(self.named(start, end))
 
     def delays(self, start=None, end=None) -> DataFrame:
         return D.attach_station_id(self.daily(start, end), self.lookup())

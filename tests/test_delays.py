@@ -80,3 +80,10 @@ def test_enforce_delay_schema_rejects_to_null(spark):
     rows = D.enforce_delay_schema(df).collect()
     assert rows[0].date == d(2025, 6, 1) and rows[0].station_id == 30 and rows[0].train_count == 10
     assert rows[1].date is None and rows[1].station_id is None and rows[1].total_delay_minutes is None
+
+
+def test_late_cleaning_equals_row_cleaning(spark):
+    named = D.with_station_name(records(spark))
+    a = sorted(map(tuple, D.daily_station_delays(D.non_early(D.clean_records(named))).collect()), key=str)
+    b = sorted(map(tuple, D.daily_station_delays_from_named(named).collect()), key=str)
+    assert a == b
