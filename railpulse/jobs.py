@@ -36,9 +36,11 @@ def preprocess_delays(records: DataFrame, lookup: DataFrame, out_path: str,
     ``fmt="parquet"`` appends the range's days to a date-partitioned table
     (repeat-safe); ``fmt="csv"`` writes the export form (header, NULL as
     empty, ordered by date and station)."""
-    clean = D.clean_records(D.with_station_name(D.in_date_range(records, start, end)))
-    observed, obs = D.observe_early_filter(clean)
-    delays = D.attach_station_id(D.daily_station_delays(D.non_early(observed)), lookup)
+    named = D.with_station_name(D.in_date_range(records, start, end))
+    # Counted on the named records (cleaning changes no count), then
+    # aggregated with the name cleaning after the first aggregate.
+    observed, obs = D.observe_early_filter(named)
+    delays = D.attach_station_id(D.daily_station_delays_from_named(observed), lookup)
     if fmt == "parquet":
         written = SK.append_days(delays, out_path, DELAYS_ALL)
     else:
