@@ -87,3 +87,15 @@ def test_late_cleaning_equals_row_cleaning(spark):
     a = sorted(map(tuple, D.daily_station_delays(D.non_early(D.clean_records(named))).collect()), key=str)
     b = sorted(map(tuple, D.daily_station_delays_from_named(named).collect()), key=str)
     assert a == b
+
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.text(alphabet=['a', 'B', '"', ' ', '\t', '\n', '\u00a0', '\u3000', '\u00e1'], max_size=8),
+                min_size=1, max_size=40))
+def test_clean_name_matches_python_strip(spark, names):
+    df = spark.createDataFrame([(n,) for n in names], "n STRING")
+    got = [r.c for r in df.select(clean_name("n").alias("c")).collect()]
+    assert got == [n.replace('"', "").strip() for n in names]
