@@ -18,6 +18,10 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Checkpoint files of dense ids, medians and KPI 3 are removed once the
+    # checkpointed data is no longer referenced, instead of piling up in the
+    # shared folder run after run.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
