@@ -45,3 +45,13 @@ def test_initial_weather_text(spark, tmp):
     assert (r.region_id, str(r.date), r.temperature_mean_c, r.precipitation_sum_mm, r.wind_gust_max_kmh) == \
         (0, "2025-06-01", 21.8, 1.3, 38.2)
     assert (r.high_temp, r.high_wind, r.high_precip) == (0, 0, 0)
+
+
+def test_strict_flags_fail_on_null_measurement(spark):
+    import pytest
+    df = spark.createDataFrame([(0, "2025-06-01", None, 1.0, 1.0)],
+                               "region_id INT, date STRING, temperature_mean_c DOUBLE, precipitation_sum_mm DOUBLE, wind_gust_max_kmh DOUBLE")
+    with pytest.raises(Exception, match="NULL weather measurement"):
+        W.with_flags(W.enforce_weather_schema(df), strict=True).collect()
+    ok = W.with_flags(W.enforce_weather_schema(df.fillna(0.0)), strict=True).collect()[0]
+    assert (ok.high_temp, ok.high_wind, ok.high_precip) == (0, 0, 0)
