@@ -74,3 +74,11 @@ def test_date_range_reaches_a_stored_raw_table(spark, tmp):
     p = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(service_date" in p and "service_date" in p.split("PartitionFilters:")[1][:200]
     assert df.count() == Domain(spark, SF).records().where("service_date between '2024-01-08' and '2024-01-14'").count()
+
+
+def test_no_cross_join_and_nested_loop_only_for_boxes(spark):
+    for name, fn in E.queries().items():
+        p = plan(fn(spark, SF))
+        assert "CartesianProduct" not in p, name
+        if name != "county_by_join":
+            assert "BroadcastNestedLoopJoin" not in p, name
