@@ -60,3 +60,14 @@ def dq_duplicate_keys(stations: DataFrame, lookup: DataFrame, weather: DataFrame
             .unionByName(duplicate_keys(lookup, ["station_name"], "station_lookup"))
             .unionByName(duplicate_keys(weather, ["date", "region_id"], "weather_all"))
             .unionByName(duplicate_keys(delays, ["date", "station_name"], "delays_all")))
+
+
+def weather_gaps(weather: DataFrame, week: DataFrame, region_ids: range = range(8)) -> DataFrame:
+    """Every (region, day) of the given week(s) that has no weather row.
+
+    ``week`` holds ``start_date`` and ``end_date`` (e.g. the newest weekly
+    delay file's bounds); the expected cells are its days times the regions,
+    generated in Spark and matched with an anti join."""
+    days = week.select(F.explode(F.sequence("start_date", "end_date")).alias("date"))
+    cells = days.select("date", F.explode(F.array(*[F.lit(i) for i in region_ids])).alias("region_id"))
+    return cells.join(weather.select("date", "region_id"), ["date", "region_id"], "left_anti")

@@ -202,6 +202,15 @@ def q_worst_region_share(spark: SparkSession, sf: str) -> DataFrame:
     return K.region_share(top)
 
 
+def q_weather_gaps(spark: SparkSession, sf: str) -> DataFrame:
+    """(region, day) cells of the newest week in the delays without weather;
+    the week is the seven days ending on the last delay date."""
+    dom = Domain(spark, sf)
+    week = dom.daily().agg(F.max("date").alias("end_date")) \
+        .select(F.date_sub("end_date", 6).alias("start_date"), "end_date")
+    return Q.weather_gaps(dom.weather(), week).select("date", "region_id")
+
+
 def q_unmatched_stations(spark: SparkSession, sf: str) -> DataFrame:
     dom = Domain(spark, sf)
     return Q.unmatched_stations(dom.delays(), dom.lookup())
@@ -249,6 +258,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "kpi_resilience": q_kpi_resilience,
     "kpi_resilience_fixed": q_kpi_resilience_fixed,
     "worst_region_share": q_worst_region_share,
+    "weather_gaps": q_weather_gaps,
     "unmatched_stations": q_unmatched_stations,
     "dq_stations": q_dq_stations,
     "dq_duplicate_keys": q_dq_duplicate_keys,

@@ -275,6 +275,13 @@ FROM unified WHERE {_CALM}""",
 SELECT region, COUNT(*) AS station_count,
        ROUND(CAST(100.0 AS DOUBLE) * COUNT(*) / SUM(COUNT(*)) OVER (), 1) AS share_pct
 FROM ({_delay_score(1)}) t GROUP BY region""",
+    "weather_gaps": with_("daily", "weather") + """
+SELECT c.date, c.region_id
+FROM (SELECT CAST(g.d AS DATE) AS date, CAST(t.r AS INTEGER) AS region_id
+      FROM (SELECT MAX(date) AS end_date FROM daily) w,
+           generate_series(CAST(w.end_date - 6 AS TIMESTAMP), CAST(w.end_date AS TIMESTAMP), INTERVAL 1 DAY) g(d),
+           range(8) t(r)) c
+WHERE NOT EXISTS (SELECT 1 FROM weather x WHERE x.date = c.date AND x.region_id = c.region_id)""",
     "unmatched_stations": with_("delays") + """
 SELECT station_name, COUNT(*) AS missing_days, CAST(SUM(train_count) AS BIGINT) AS train_count
 FROM delays d WHERE NOT EXISTS (SELECT 1 FROM lookup l WHERE l.station_name = d.station_name)

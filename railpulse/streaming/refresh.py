@@ -20,11 +20,11 @@ from railpulse.constants import (
 )
 from railpulse.operators import kpis as K
 from railpulse.operators.delays import enforce_delay_schema
-from railpulse.operators.quality import EmptyInputError
+from railpulse.operators.quality import EmptyInputError, weather_gaps
 from railpulse.operators.unified import unified_all
 from railpulse.operators.weather import weather_from_responses
 from railpulse.sources.readers import REGION_FILE_PATTERN, week_bounds
-from railpulse.sources.readers import read_delay_csv
+from railpulse.sources.readers import newest_week_file, read_delay_csv
 from railpulse.sources.sinks import append_days, read_table, write_result
 
 
@@ -178,4 +178,7 @@ def refresh(spark: SparkSession, p: RefreshPaths, min_trains: int = 10) -> DataF
     for r in loads:
         rows.append((r.name, "input_rows", r.input_rows))
         rows.append((r.name, "batches", r.batches))
+    # The weather must cover the week of the newest delay file, for every region.
+    week = newest_week_file(spark, p.delay_landing).where(F.col("start_date").isNotNull())
+    rows.append(("weather", "missing_cells_newest_week", weather_gaps(weather, week).count()))
     return spark.createDataFrame(rows, "step STRING, metric STRING, value BIGINT")

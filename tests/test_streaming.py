@@ -61,6 +61,7 @@ def test_refresh_end_to_end(spark, tmp):
     summary = {(r.step.split("_load")[0], r.metric): r.value for r in RF.refresh(spark, paths).collect()}
     assert summary[("delay", "input_rows")] == 3 and summary[("weather", "input_rows")] == 1
     assert summary[("kpi_median", "kpi_rows")] == 1
+    assert summary[("weather", "missing_cells_newest_week")] == 7 * 8 - 3  # one region, three days
     k2 = spark.read.parquet(j("out", "kpi_delay_score")).collect()
     assert k2[0].percent_delayed_days == 100.0
     assert SK.read_table(spark, j("weather"), WEATHER_ALL).count() == 3
