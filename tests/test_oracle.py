@@ -5,6 +5,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from railpulse.plans.catalog import QUERIES
+from railpulse.plans.oracle import ORACLE
 from conftest import SF
 from tools.check_oracle import TABLES, digest
 
@@ -19,11 +21,11 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
-    df = E.queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]
-    sql = E.oracle_sql().get(name)
+    sql = ORACLE.get(name)
     assert sql is not None, f"{name} has no oracle"
     cur = con.execute(sql)
     ocols = [x[0] for x in cur.description]
