@@ -7,8 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from railpulse.llm import mixing, simhash
-from railpulse.llm.common import table
+from railpulse.llm import licenses, mixing, quality, sentencepiece_viterbi, simhash, toxicity
+from railpulse.llm.common import fold, table
 
 
 def op2_simhash(spark: SparkSession, sf: str) -> DataFrame:
@@ -21,9 +21,36 @@ def op3_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op4_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    rows = toxicity.score(docs, toxicity.fit(docs, table(spark, sf, "labels")))
+    return rows.select("doc_id", (fold("doc_id", toxicity.FOLDS) == 0).alias("held_out"), "score",
+                       (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_tokens", "passages")
+
+
+def op8_licenses(spark: SparkSession, sf: str) -> DataFrame:
+    return licenses.summary(licenses.scan(table(spark, sf, "documents")))
+
+
+def op9_quality(spark: SparkSession, sf: str) -> DataFrame:
+    rows = quality.classify(table(spark, sf, "documents"), table(spark, sf, "labels"))
+    return rows.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def op10_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
+    encoded = sentencepiece_viterbi.encode_documents(table(spark, sf, "documents"))
+    back = sentencepiece_viterbi.decode_documents(encoded)
+    return back.select("doc_id", F.size("tokens").cast("long").alias("n_tokens"), "tokens",
+                       (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op3_mixing": op3_mixing,
+    "op4_toxicity": op4_toxicity,
+    "op8_licenses": op8_licenses,
+    "op9_quality": op9_quality,
+    "op10_sentencepiece": op10_sentencepiece,
 }
 
 ORACLE: dict[str, str] = {
