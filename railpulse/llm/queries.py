@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from railpulse.llm import licenses, mixing, quality, sentencepiece_viterbi, simhash, toxicity
+from railpulse.llm import licenses, mixing, quality, sentencepiece_viterbi, simhash, toxicity, winnowing
 from railpulse.llm.common import fold, table
 
 
@@ -28,6 +28,10 @@ def op4_toxicity(spark: SparkSession, sf: str) -> DataFrame:
                        (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_tokens", "passages")
 
 
+def op5_winnowing(spark: SparkSession, sf: str) -> DataFrame:
+    return winnowing.compare_with_next(table(spark, sf, "documents"))
+
+
 def op8_licenses(spark: SparkSession, sf: str) -> DataFrame:
     return licenses.summary(licenses.scan(table(spark, sf, "documents")))
 
@@ -48,6 +52,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op3_mixing": op3_mixing,
     "op4_toxicity": op4_toxicity,
+    "op5_winnowing": op5_winnowing,
     "op8_licenses": op8_licenses,
     "op9_quality": op9_quality,
     "op10_sentencepiece": op10_sentencepiece,

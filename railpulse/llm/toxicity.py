@@ -1,8 +1,10 @@
 """Toxicity by maximum-scoring segments with extreme-value calibration.
 
-Method. Tokens get shrunken log-odds between toxic and clean labelled texts
-under an informative Dirichlet prior (the corpus distribution), less a constant
-drift, so that clean text scores negative on average. A linear-time scan
+Method. Words and their first bytes (``STEMS``) get log-odds between toxic and
+clean labelled texts under an informative Dirichlet prior (the corpus
+distribution), shrunk by their standard error. A token scores as the strongest
+of its word and stems, less a constant drift, so that clean text scores negative
+on average and inflected forms of a toxic stem count. A linear-time scan
 (Ruzzo and Tompa) finds all maximal-scoring segments of a text. By extreme-value
 theory the best segment of n clean tokens reaches S with probability
 1 - exp(-K n exp(-lambda S)): lambda solves the moment equation of the clean
@@ -25,6 +27,7 @@ repeated rows get a row each; extra columns are ignored.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -37,18 +40,23 @@ from railpulse.llm.common import fold, steps, texts
 from railpulse.llm.logistic import fit_logistic, predict_logistic
 
 TOKEN = re.compile(rb"[0-9a-z\x80-\xff]+")
-BUCKETS = 1 << 18
+BUCKETS = 1 << 19
+STEMS = (4, 5, 6)  # bytes
 SAMPLE = 200_000
-PRIOR = 500.0  # weight of the Dirichlet prior, in tokens
-CONFIDENCE = 1.64
-DRIFT = 0.3
+PRIOR = 50.0  # weight of the corpus distribution in the Dirichlet prior, in counts
+FLOOR = 0.5  # and a constant part per token
+CONFIDENCE = 2.0
+DRIFT = 1.5
 SIGNIFICANT = 0.05
 FOLDS = 5
 REMEMBERED = 400_000
+BINS = np.linspace(-12, 12, 481)  # of token scores
 
 
-def bucket(token: bytes) -> int:
-    return xxhash.xxh64_intdigest(token, 1) & (BUCKETS - 1)
+def buckets(token: bytes) -> list[int]:
+    """Of the word and of each stem."""
+    digest = xxhash.xxh64_intdigest
+    return [digest(token, 1) & (BUCKETS - 1)] + [digest(token[:n], 1 + n) & (BUCKETS - 1) for n in STEMS]
 
 
 def tokens_of(text: str) -> list[bytes]:
@@ -57,7 +65,7 @@ def tokens_of(text: str) -> list[bytes]:
 
 @dataclass
 class Model:
-    scores: np.ndarray  # per bucket
+    odds: np.ndarray  # per bucket
     lam: float
     k: float
     weights: np.ndarray | None  # of the logistic link; None: no labelled rows
@@ -66,7 +74,7 @@ class Model:
 def log_odds(toxic: np.ndarray, clean: np.ndarray) -> np.ndarray:
     """Per-bucket log-odds, shrunk towards 0 by their standard error."""
     total = toxic + clean
-    prior = PRIOR * (total + 0.01) / (total.sum() + 0.01 * len(total))
+    prior = FLOOR + PRIOR * (total + 0.01) / (total.sum() + 0.01 * len(total))
     t, c = toxic + prior, clean + prior
     delta = np.log(t / (t.sum() - t)) - np.log(c / (c.sum() - c))
     error = np.sqrt(1 / t + 1 / c)
@@ -111,16 +119,19 @@ def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
 class Scanner:
     """Token scores of texts, remembering up to ``REMEMBERED`` tokens."""
 
-    def __init__(self, scores: np.ndarray):
-        self.scores, self.known = scores.tolist(), {}
+    def __init__(self, odds: np.ndarray):
+        self.odds, self.known = odds, {}
 
     def token_scores(self, text: str) -> np.ndarray:
         known = self.known
         if len(known) > REMEMBERED:
             known.clear()
         words = tokens_of(text)
-        for w in set(words).difference(known):
-            known[w] = self.scores[bucket(w)]
+        new = list(set(words).difference(known))
+        if new:
+            odds = self.odds[np.array([buckets(w) for w in new])]
+            strongest = odds[np.arange(len(new)), np.abs(odds).argmax(axis=1)] - DRIFT
+            known.update(zip(new, strongest.tolist()))
         return np.array([known[w] for w in words])
 
 
@@ -147,18 +158,19 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, sample: int =
 
 
 def count_tokens(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Token counts per bucket of toxic and of clean rows."""
+    """Per bucket, in how many toxic and clean rows its tokens stand: a word that
+    one text repeats counts once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((2, BUCKETS), dtype=np.int64)
-        known: dict[bytes, int] = {}
         for part in steps(batches, "text"):
+            words: tuple[Counter, Counter] = (Counter(), Counter())
             for text, y in zip(texts(part.column("text")), part.column("y").to_pylist()):
-                words = tokens_of(text)
-                if len(known) > REMEMBERED:
-                    known.clear()
-                for w in set(words).difference(known):
-                    known[w] = bucket(w)
-                np.add.at(counts[y], [known[w] for w in words], 1)
+                words[y].update(set(tokens_of(text)))
+            for y in (0, 1):
+                if words[y]:
+                    at = np.array([buckets(w) for w in words[y]])
+                    times = np.fromiter(words[y].values(), dtype=np.int64, count=len(words[y]))
+                    np.add.at(counts[y], at.ravel(), np.repeat(times, at.shape[1]))
         at = np.flatnonzero(counts.any(axis=0))
         if len(at):
             yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(counts[1, at]), pa.array(counts[0, at])],
@@ -177,22 +189,32 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int =
     spark = docs.sparkSession
     rows = training_rows(docs, labels, label, sample)
     toxic, clean = count_tokens(rows)
-    scores = log_odds(toxic, clean) - DRIFT
-    lam = extreme_rate(scores, clean)
-    shipped = spark.sparkContext.broadcast(scores)
+    odds = log_odds(toxic, clean)
+    shipped = spark.sparkContext.broadcast(odds)
 
     def best_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = Scanner(shipped.value)
+        scanner, seen = Scanner(shipped.value), np.zeros(len(BINS) - 1)
+        types = [pa.int32(), pa.int64(), pa.list_(pa.float64())]
+
+        def out(*columns) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["y", "n", "sums"])
+
         for part in steps(batches, "text"):
             own = [scanner.token_scores(t) for t in texts(part.column("text"))]
-            segments = [maximal_segments(s) for s in own]
-            yield pa.RecordBatch.from_arrays(
-                [part.column("y"), pa.array([len(s) for s in own], pa.int64()),
-                 pa.array([[x for _, _, x in seg] for seg in segments], pa.list_(pa.float64()))], ["y", "n", "sums"])
-
-    got = rows.mapInArrow(best_of, "y int, n long, sums array<double>").toArrow().to_pylist()  # about ``sample`` rows at most
+            y = part.column("y").to_pylist()
+            for s, toxic_one in zip(own, y):
+                if not toxic_one:
+                    seen += np.histogram(s, BINS)[0]
+            yield out(y, [len(s) for s in own], [[x for _, _, x in maximal_segments(s)] for s in own])
+        yield out([-1], [0], [seen.tolist()])  # the clean token scores of this task, binned
+
+    # About ``sample`` rows at most, and a row per task.
+    got = rows.mapInArrow(best_of, "y int, n long, sums array<double>").toArrow().to_pylist()
+    seen = sum((np.array(r["sums"]) for r in got if r["y"] < 0), np.zeros(len(BINS) - 1))
+    lam = extreme_rate((BINS[1:] + BINS[:-1]) / 2, seen)
+    got = [r for r in got if r["y"] >= 0]
     if not got:
-        return Model(scores, lam, 1.0, None)
+        return Model(odds, lam, 1.0, None)
     y = np.array([r["y"] for r in got])
     n = np.array([max(r["n"], 1) for r in got])
     best = np.array([max(r["sums"], default=0.0) for r in got])
@@ -201,7 +223,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int =
     k = float(np.clip(background.sum() / tail, 1e-6, 10.0)) if tail > 0 else 1.0
     excess = np.array([sum(lam * x[2] - np.log(k * m) for x in excess_of([(0, 0, v) for v in r["sums"]], m, lam, k))
                        for r, m in zip(got, n)])
-    return Model(scores, lam, k, fit_logistic(evidence(best, excess, n, lam, k), y))
+    return Model(odds, lam, k, fit_logistic(evidence(best, excess, n, lam, k), y))
 
 
 def score(docs: DataFrame, model: Model, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -213,7 +235,7 @@ def score(docs: DataFrame, model: Model, carry: tuple[str, ...] = ("doc_id",)) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shipped.value
-        scanner = Scanner(m.scores)
+        scanner = Scanner(m.odds)
         for part in steps(batches, "_text"):
             own = [scanner.token_scores(t) for t in texts(part.column("_text"))]
             n = np.array([max(len(s), 1) for s in own])
