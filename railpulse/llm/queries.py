@@ -7,10 +7,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from railpulse.llm import licenses, mixing, quality, sentencepiece_viterbi, simhash, toxicity, winnowing
+from railpulse.llm import ctw, licenses, mixing, quality, sentencepiece_viterbi, simhash, topk, toxicity, winnowing
 from railpulse.llm.common import fold, table
 
 
+def op1_ctw(spark: SparkSession, sf: str) -> DataFrame:
+    return ctw.score_documents(table(spark, sf, "documents"))
+
+
 def op2_simhash(spark: SparkSession, sf: str) -> DataFrame:
     rows = simhash.near_duplicates(table(spark, sf, "documents"))
     return rows.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -32,6 +36,10 @@ def op5_winnowing(spark: SparkSession, sf: str) -> DataFrame:
     return winnowing.compare_with_next(table(spark, sf, "documents"))
 
 
+def op6_topk(spark: SparkSession, sf: str) -> DataFrame:
+    return topk.top_k(table(spark, sf, "embeddings"))
+
+
 def op8_licenses(spark: SparkSession, sf: str) -> DataFrame:
     return licenses.summary(licenses.scan(table(spark, sf, "documents")))
 
@@ -49,16 +57,28 @@ def op10_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ctw": op1_ctw,
     "op2_simhash": op2_simhash,
     "op3_mixing": op3_mixing,
     "op4_toxicity": op4_toxicity,
     "op5_winnowing": op5_winnowing,
+    "op6_topk": op6_topk,
     "op8_licenses": op8_licenses,
     "op9_quality": op9_quality,
     "op10_sentencepiece": op10_sentencepiece,
 }
 
 ORACLE: dict[str, str] = {
+    "op6_topk": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS q FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+r AS (
+  SELECT a.vec_id AS query_id, b.vec_id, list_inner_product(a.q::DOUBLE[], b.q::DOUBLE[])::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id),
+k AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM r)
+SELECT query_id, n::INTEGER AS rank, vec_id, score FROM k WHERE n <= 20
+""",
     "op3_mixing": """
 WITH d AS (
   SELECT doc_id, source, text,
