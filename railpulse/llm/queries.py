@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from railpulse.llm import ctw, licenses, mixing, quality, sentencepiece_viterbi, simhash, topk, toxicity, winnowing
+from railpulse.llm import ctw, licenses, mixing, quality, sentencepiece_viterbi, simhash, substring, topk, toxicity, winnowing
 from railpulse.llm.common import fold, table
 
 
@@ -40,6 +40,10 @@ def op6_topk(spark: SparkSession, sf: str) -> DataFrame:
     return topk.top_k(table(spark, sf, "embeddings"))
 
 
+def op7_substring(spark: SparkSession, sf: str) -> DataFrame:
+    return substring.repeated(table(spark, sf, "documents"))
+
+
 def op8_licenses(spark: SparkSession, sf: str) -> DataFrame:
     return licenses.summary(licenses.scan(table(spark, sf, "documents")))
 
@@ -63,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_toxicity": op4_toxicity,
     "op5_winnowing": op5_winnowing,
     "op6_topk": op6_topk,
+    "op7_substring": op7_substring,
     "op8_licenses": op8_licenses,
     "op9_quality": op9_quality,
     "op10_sentencepiece": op10_sentencepiece,

@@ -29,7 +29,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from railpulse.llm.common import ragged_ranges, steps, texts
 
@@ -239,17 +239,20 @@ def _apply(docs: DataFrame, schema: str, make, path: str | None) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
-def encode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """(doc_id, text) -> doc_id, text, tokens array<int>."""
+def encode_documents(docs: DataFrame, path: str | None = None, carry: tuple[str, ...] = ("doc_id", "text")) -> DataFrame:
+    """The ``carry`` columns of every row with its ``tokens`` array<int>."""
+    types = dict(docs.dtypes)
+
     def make(batches, v):
         encoder = Encoder(v)
-        for part in steps(batches, "text"):
-            ids, counts = encoder.encode(texts(part.column("text")))
+        for part in steps(batches, "_text"):
+            ids, counts = encoder.encode(texts(part.column("_text")))
             offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
             tokens = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, pa.int32()))
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text"), tokens], ["doc_id", "text", "tokens"])
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in carry), tokens], [*carry, "tokens"])
 
-    return _apply(docs.select("doc_id", "text"), "doc_id long, text string, tokens array<int>", make, path)
+    schema = ", ".join(f"{c} {types[c]}" for c in carry) + ", tokens array<int>"
+    return _apply(docs.select(*carry, F.col("text").alias("_text")), schema, make, path)
 
 
 def decode_documents(encoded: DataFrame, path: str | None = None) -> DataFrame:

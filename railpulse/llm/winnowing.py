@@ -68,6 +68,34 @@ def gram_hashes(codes: np.ndarray, k: int) -> np.ndarray:
     return ((out * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(32)).astype(np.uint32)
 
 
+def rightmost_minima(hashes: np.ndarray, counts: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the window minima, the rightmost of equal ones, of 32-bit
+    hashes that belong to owners one after another (``counts`` each, none
+    empty), and the owner of each; fewer hashes than a window are one window."""
+    owner, first = np.repeat(np.arange(len(counts)), counts), np.cumsum(counts) - counts
+    # Hash above, reversed place below: the minimum of a window is its smallest
+    # hash, the rightmost of equal ones.
+    packed = (hashes.astype(np.uint64) << np.uint64(32)) | (np.uint64(0xFFFFFFFF) - np.arange(len(hashes), dtype=np.uint64))
+    least, have = packed, 1
+    while have < window:
+        shift = min(have, window - have)
+        least = np.minimum(least[:len(least) - shift], least[shift:]) if len(least) > shift else least[:0]
+        have += shift
+    of = owner[:len(least)]
+    inside = np.arange(len(least)) - first[of] <= counts[of] - window
+    chosen, of = least[inside], of[inside]
+    few = np.flatnonzero(counts < window)
+    if len(few):
+        extra = np.array([packed[first[i]:first[i] + counts[i]].min() for i in few], dtype=np.uint64)
+        chosen, of = np.concatenate((chosen, extra)), np.concatenate((of, few))
+        at = np.argsort(of, kind="stable")
+        chosen, of = chosen[at], of[at]
+    if len(chosen):
+        new = np.concatenate(([True], chosen[1:] != chosen[:-1]))
+        chosen, of = chosen[new], of[new]
+    return (np.uint64(0xFFFFFFFF) - (chosen & np.uint64(0xFFFFFFFF))).astype(np.int64), of
+
+
 def winnow(batch: list[str], k: int = K, window: int = WINDOW) -> Prints:
     lengths = np.array([len(t) for t in batch], dtype=np.int64)
     hashes, positions, owner = [], [], []
@@ -88,31 +116,9 @@ def winnow(batch: list[str], k: int = K, window: int = WINDOW) -> Prints:
         grams, text = grams[inside], text[inside]
         counts = sizes - k + 1
         first = np.cumsum(counts) - counts
-        # Hash above, reversed place below: the minimum of a window is its
-        # smallest hash, the rightmost of equal ones.
-        place = np.arange(len(grams), dtype=np.uint64)
-        packed = (grams.astype(np.uint64) << np.uint64(32)) | (np.uint64(0xFFFFFFFF) - place)
-        least, have = packed, 1
-        while have < window:
-            shift = min(have, window - have)
-            least = np.minimum(least[:len(least) - shift], least[shift:]) if len(least) > shift else least[:0]
-            have += shift
-        # Windows inside one text; a text with fewer grams is one window.
-        window_text = text[:len(least)]
-        whole = np.arange(len(least)) - first[window_text] <= counts[window_text] - window
-        chosen = least[whole]
-        chosen_text = window_text[whole]
-        few = np.flatnonzero(counts < window)
-        if len(few):
-            extra = np.array([packed[first[i]:first[i] + counts[i]].min() for i in few], dtype=np.uint64)
-            chosen, chosen_text = np.concatenate((chosen, extra)), np.concatenate((chosen_text, few))
-            at = np.argsort(chosen_text, kind="stable")
-            chosen, chosen_text = chosen[at], chosen_text[at]
-        if len(chosen):
-            new = np.concatenate(([True], chosen[1:] != chosen[:-1]))
-            chosen, chosen_text = chosen[new], chosen_text[new]
-        hashes.append((chosen >> np.uint64(32)).astype(np.uint32))
-        positions.append((np.uint64(0xFFFFFFFF) - (chosen & np.uint64(0xFFFFFFFF))).astype(np.int64) - first[chosen_text])
+        chosen, chosen_text = rightmost_minima(grams, counts, window)
+        hashes.append(grams[chosen])
+        positions.append(chosen - first[chosen_text])
         owner.append(long[chosen_text])
     if not hashes:
         return Prints(np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64))
