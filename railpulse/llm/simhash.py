@@ -96,10 +96,10 @@ def close_forest(fp: np.ndarray, side: np.ndarray, cross: bool, distance: int) -
             i = root[i]
         return i
 
-    out = []
+    out, bits = [], fp.view(np.uint64)  # bits of signed numbers would be counted without the sign
     step = max(1, (1 << 20) // max(1, len(fp)))
     for a in range(0, len(fp), step):
-        near = np.bitwise_count(fp[a:a + step, None] ^ fp[None, a:]) <= distance
+        near = np.bitwise_count(bits[a:a + step, None] ^ bits[None, a:]) <= distance
         if cross:
             near &= side[a:a + step, None] != side[None, a:]
         for i, j in zip(*np.nonzero(np.triu(near, 1))):

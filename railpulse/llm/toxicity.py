@@ -45,8 +45,8 @@ STEMS = (4, 5, 6)  # bytes
 SAMPLE = 200_000
 PRIOR = 50.0  # weight of the corpus distribution in the Dirichlet prior, in counts
 FLOOR = 0.5  # and a constant part per token
-CONFIDENCE = 2.0
-DRIFT = 1.5
+CONFIDENCE = 1.5
+DRIFT = 1.25
 SIGNIFICANT = 0.05
 FOLDS = 5
 REMEMBERED = 400_000

@@ -1,0 +1,57 @@
+"""Every operator and stage on nulls, empty and very long texts, repeated rows,
+clashing extra columns and empty tables."""
+import pytest
+
+import corpus_pipeline
+from railpulse.llm import (ctw, licenses, mixing, quality, sentencepiece_viterbi, simhash, substring, toxicity, winnowing)
+from railpulse.llm.common import DOCUMENT_COLUMNS
+
+PER_ROW = {
+    "ctw": lambda d, labels: ctw.score_documents(d),
+    "simhash": lambda d, labels: simhash.near_duplicates(d),
+    "mixing": lambda d, labels: mixing.mix_sources(d),
+    "toxicity": lambda d, labels: toxicity.score(d, toxicity.fit(d, labels)),
+    "winnowing": lambda d, labels: winnowing.compare_with_next(d),
+    "winnowing list": lambda d, labels: winnowing.fingerprints(d),
+    "substring": lambda d, labels: substring.repeated(d),
+    "licenses": lambda d, labels: licenses.summary(licenses.scan(d)),
+    "quality": lambda d, labels: quality.classify(d, labels),
+    "sentencepiece": lambda d, labels: sentencepiece_viterbi.decode_documents(sentencepiece_viterbi.encode_documents(d)),
+}
+
+
+@pytest.mark.parametrize("name", sorted(PER_ROW))
+def test_one_row_per_document(tricky, nothing, some_labels, name):
+    got = PER_ROW[name](tricky, some_labels).collect()
+    assert sorted(str(r["doc_id"]) for r in got) == sorted(str(r["doc_id"]) for r in tricky.select("doc_id").collect())
+    assert PER_ROW[name](nothing, some_labels).count() == 0
+
+
+@pytest.mark.parametrize("name,stage", corpus_pipeline.STAGES)
+def test_stages(spark, tricky, nothing, some_labels, name, stage, tmp_path_factory):
+    sf = str(tmp_path_factory.mktemp("sf"))
+    some_labels.write.parquet(f"{sf}/labels.parquet")
+    docs = tricky.select(*DOCUMENT_COLUMNS) if name == "sentencepiece" else tricky
+    out = stage(spark, docs, sf)
+    if name != corpus_pipeline.STAGES[-1][0]:
+        assert out.columns == DOCUMENT_COLUMNS
+    assert out.count() > 0
+    assert stage(spark, nothing, sf).count() == 0
+
+
+def test_without_labels(spark, tricky, some_labels):
+    none = some_labels.where("false")
+    assert {r["score"] for r in toxicity.score(tricky, toxicity.fit(tricky, none)).collect()} == {0.0}
+    assert {round(r["score"], 6) for r in quality.classify(tricky, none).collect()} == {0.5}
+
+
+def test_null_and_empty_texts(tricky, some_labels):
+    rows = {(r["doc_id"], r["n_tokens"]): r for r in ctw.score_documents(tricky).collect()}
+    assert rows[(2, 1)]["score"] == rows[(3, 1)]["score"] < 0
+    prints = {r["doc_id"]: r["fp"] for r in simhash.near_duplicates(tricky).collect()}
+    assert prints[2] == prints[3] == prints[4] == 0
+    back = sentencepiece_viterbi.decode_documents(sentencepiece_viterbi.encode_documents(tricky)).collect()
+    assert all(r["decoded"] == (r["text"] or "") for r in back)
+    texts = {r["doc_id"]: r for r in substring.repeated(tricky).where("doc_id in (5, 6)").collect()}
+    assert texts[6]["class_id"] == 5 and not texts[5]["passages"]
+    assert [(p["start"], p["end"]) for p in texts[6]["passages"]] == [(0, 30_000)]
