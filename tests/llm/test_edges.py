@@ -54,4 +54,4 @@ def test_null_and_empty_texts(tricky, some_labels):
     assert all(r["decoded"] == (r["text"] or "") for r in back)
     texts = {r["doc_id"]: r for r in substring.repeated(tricky).where("doc_id in (5, 6)").collect()}
     assert texts[6]["class_id"] == 5 and not texts[5]["passages"]
-    assert [(p["start"], p["end"]) for p in texts[6]["passages"]] == [(0, 30_000)]
+    assert (texts[6]["passages"][0]["start"], max(p["end"] for p in texts[6]["passages"])) == (0, 30_000)
