@@ -2,11 +2,12 @@
 
 Method. A text, with a space put before it and spaces shown as U+2581, falls
 into units of a space run and the characters up to the next space; no piece
-crosses a unit's end. Distinct units of equal length advance together: for each piece
-length, rolling hashes of all substrings probe the sorted hash keys of the
-pieces of that length, and the best score at every end position is a vectorised
-maximum that keeps the length of its last piece. A character without a piece
-becomes byte pieces. Decoding gathers piece bytes and drops the first space, so
+crosses a unit's end. Distinct units of equal length advance together: length by
+length, rolling hashes of all substrings that still begin a piece probe the
+sorted hash keys of the pieces' beginnings (a hit is confirmed by its last
+character and the hit before it, so no collision passes), and the best score at
+every end position is a vectorised maximum that keeps the length of its last
+piece. A character without a piece becomes byte pieces. Decoding gathers piece bytes and drops the first space, so
 every text comes back exactly; U+2581 itself is encoded as bytes.
 
 Scores. A vocabulary of merge ranks has no probabilities; a piece of rank r
@@ -48,16 +49,17 @@ def default_model() -> str:
 
 @dataclass
 class Vocabulary:
-    keys: list[np.ndarray]  # by length - 1: sorted hashes
-    ids: list[np.ndarray]
-    scores: list[np.ndarray]
-    points: list[np.ndarray]  # code points behind each key
+    # By length - 1, sorted by hash: the beginnings of that length of all pieces.
+    keys: list[np.ndarray]
+    before: list[np.ndarray]  # index of the beginning one character shorter
+    last: list[np.ndarray]  # last character
+    ids: list[np.ndarray]  # piece that ends here, or -1
+    scores: list[np.ndarray]  # its score, or -inf
     byte_ids: np.ndarray
     byte_score: float
     piece_bytes: np.ndarray
     piece_starts: np.ndarray
     piece_lengths: np.ndarray
-    piece_points: np.ndarray  # code points of each piece
 
 
 def mix(h: np.ndarray, c: np.ndarray) -> np.ndarray:
@@ -75,21 +77,23 @@ def load(path: str | None = None) -> Vocabulary:
     ranks = all(s == int(s) for s in raw.values())
     order = {i: r for r, i in enumerate(sorted(normal, key=lambda i: (-raw[i], i)), 1)}
     score = {i: -float(np.log(order[i])) if ranks else raw[i] for i in normal}
-    by_length: dict[int, list[int]] = {}
-    for i in normal:
-        by_length.setdefault(len(sp.id_to_piece(i)), []).append(i)
-    keys, ids, scores, points = [], [], [], []
-    for length in range(1, max(by_length) + 1):
-        own = by_length.get(length, [])
-        codes = np.array([[ord(c) for c in sp.id_to_piece(i)] for i in own], dtype=np.uint32).reshape(len(own), length)
+    names = {sp.id_to_piece(i): i for i in normal}
+    beginnings = sorted({p[:n] for p in names for n in range(1, len(p) + 1)}, key=len)
+    keys, before, last, ids, scores, place = [], [], [], [], [], {"": 0}
+    for length in range(1, len(beginnings[-1]) + 1):
+        own = [p for p in beginnings if len(p) == length]
+        codes = np.array([[ord(c) for c in p] for p in own], dtype=np.uint32)
         h = np.zeros(len(own), dtype=np.uint64)
         for j in range(length):
             h = mix(h, codes[:, j])
         at = np.argsort(h, kind="stable")
+        own = [own[i] for i in at]
         keys.append(h[at])
-        ids.append(np.array(own, dtype=np.int32)[at])
-        scores.append(np.array([score[i] for i in own], dtype=np.float64)[at])
-        points.append(codes[at])
+        before.append(np.array([place[p[:-1]] for p in own], dtype=np.int64))
+        last.append(codes[at, -1])
+        ids.append(np.array([names.get(p, -1) for p in own], dtype=np.int32))
+        scores.append(np.array([score[names[p]] if p in names else -np.inf for p in own]))
+        place.update(zip(own, range(len(own))))
     data = [bytes([int(sp.id_to_piece(i)[3:5], 16)]) if sp.is_byte(i)
             else sp.id_to_piece(i).replace("▁", " ").encode() if i in score else b"" for i in range(n)]
     lengths = np.array([len(d) for d in data], dtype=np.int64)
@@ -97,94 +101,102 @@ def load(path: str | None = None) -> Vocabulary:
     for i in range(n):
         if sp.is_byte(i):
             byte_ids[data[i][0]] = i
-    return Vocabulary(keys, ids, scores, points, byte_ids, min(score.values()) - 10.0,
-                      np.frombuffer(b"".join(data), dtype=np.uint8), np.cumsum(lengths) - lengths, lengths,
-                      np.array([len(sp.id_to_piece(i)) for i in range(n)], dtype=np.int64))
+    return Vocabulary(keys, before, last, ids, scores, byte_ids, min(score.values()) - 10.0,
+                      np.frombuffer(b"".join(data), dtype=np.uint8), np.cumsum(lengths) - lengths, lengths)
 
 
-def code_points(unit: str) -> np.ndarray:
-    codes = np.frombuffer(unit.encode("utf-32-le"), dtype=np.uint32).copy()
+def code_points(units: list[str], length: int) -> np.ndarray:
+    """Positions by units, of units of one length."""
+    codes = np.frombuffer("".join(units).encode("utf-32-le"), dtype=np.uint32).reshape(len(units), length).T.copy()
     codes[codes == MARK] = LITERAL
     codes[codes == 0x20] = MARK
     return codes
 
 
 def viterbi(codes: np.ndarray, v: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
-    """Units of one length (rows) -> (tokens, counts): tokens right-aligned per
-    row; -1 stands for a character without a piece."""
-    n, length = codes.shape
-    pieces, gains = [], []
-    h = np.zeros((n, length), dtype=np.uint64)
-    for size in range(1, min(length, len(v.keys)) + 1):
-        h = mix(h[:, :length - size + 1], codes[:, size - 1:])
+    """Units of one length (columns) -> (ids, counts): the tokens of all units
+    one after another; -1 - c stands for a character c without a piece."""
+    length, n = codes.shape
+    flat = codes.ravel()
+    most = min(length, len(v.keys))
+    pieces = np.full((most, length * n), -1, dtype=np.int32)
+    gains = np.full((most, length * n), -np.inf)
+    gains[0] = v.byte_score
+    alive, node, h = np.arange(length * n), np.zeros(length * n, dtype=np.int64), np.zeros(length * n, dtype=np.uint64)
+    for size in range(1, most + 1):
+        if size > 1:  # starts with room for one more character
+            room = alive < (length - size + 1) * n
+            alive, node, h = alive[room], node[room], h[room]
+        character = flat[alive + (size - 1) * n]
+        h = mix(h, character)
         keys = v.keys[size - 1]
-        got = np.full(h.shape, -1, dtype=np.int32)
-        gain = np.full(h.shape, v.byte_score if size == 1 else -np.inf)
-        if len(keys):
-            at = np.minimum(np.searchsorted(keys, h.ravel()), len(keys) - 1)
-            hit = np.flatnonzero(keys[at] == h.ravel())
-            row, col = np.divmod(hit, h.shape[1])
-            same = np.ones(len(hit), dtype=bool)
-            for j in range(size):
-                same &= v.points[size - 1][at[hit], j] == codes[row, col + j]
-            hit = hit[same]
-            got.ravel()[hit] = v.ids[size - 1][at[hit]]
-            gain.ravel()[hit] = v.scores[size - 1][at[hit]]
-        pieces.append(got)
-        gains.append(gain)
-    best = np.zeros((n, length + 1))
-    last = np.zeros((n, length + 1), dtype=np.int64)
+        at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
+        hit = (keys[at] == h) & (v.last[size - 1][at] == character) & (v.before[size - 1][at] == node)
+        alive, node, h = alive[hit], at[hit], h[hit]
+        if not len(alive):
+            most = size
+            break
+        ends = v.ids[size - 1][node]
+        whole = ends >= 0
+        pieces[size - 1, alive[whole]] = ends[whole]
+        gains[size - 1, alive[whole]] = v.scores[size - 1][node[whole]]
+    gains = gains.reshape(-1, length, n)
+    best = np.zeros((length + 1, n))
+    last = np.zeros((length + 1, n), dtype=np.int64)
     for end in range(1, length + 1):
-        best[:, end] = -np.inf
-        for size in range(min(end, len(pieces)), 0, -1):  # of equal scores the longest last piece
-            score = best[:, end - size] + gains[size - 1][:, end - size]
-            better = score > best[:, end]
-            best[better, end] = score[better]
-            last[better, end] = size
-    tokens = np.full((n, length), -2, dtype=np.int32)
+        best[end] = -np.inf
+        for size in range(min(end, most), 0, -1):  # of equal scores the longest last piece
+            score = best[end - size] + gains[size - 1, end - size]
+            better = score > best[end]
+            np.copyto(best[end], score, where=better)
+            np.copyto(last[end], size, where=better)
+    none = np.iinfo(np.int32).min
+    tokens = np.full((n, length), none, dtype=np.int32)
+    at, rows, step = np.full(n, length), np.arange(n), 1
     counts = np.zeros(n, dtype=np.int64)
-    at, rows = np.full(n, length), np.arange(n)
     while len(rows):
-        size = last[rows, at[rows]]
+        size = last[at[rows], rows]
         at[rows] -= size
-        counts[rows] += 1
-        for s in np.unique(size):
-            of = rows[size == s]
-            tokens[of, length - counts[of]] = pieces[s - 1][of, at[of]]
-        rows = rows[at[rows] > 0]
-    return tokens, counts
-
-
-def encode_units(units: list[str], v: Vocabulary) -> list[np.ndarray]:
-    """Token ids of each unit."""
-    out: list[np.ndarray] = [np.zeros(0, dtype=np.int32)] * len(units)
-    points = [code_points(u) for u in units]
-    by_length: dict[int, list[int]] = {}
-    for i, p in enumerate(points):
-        by_length.setdefault(len(p), []).append(i)
-    for length, members in by_length.items():
+        place = at[rows] * n + rows
+        found = pieces[size - 1, place]
+        tokens[rows, length - step] = np.where(found >= 0, found, -1 - flat[place].astype(np.int32))
+        counts[rows] = step
+        rows, step = rows[at[rows] > 0], step + 1
+    return tokens[tokens > none], counts
+
+
+def encode_units(units: list[str], v: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(order, ids, counts): units in another order, their token ids one after
+    another, and how many each has."""
+    sizes = np.array([len(u) for u in units])
+    order, ids, counts = [], [], []
+    for length in np.unique(sizes).tolist():
+        members = np.flatnonzero(sizes == length)
         step = max(1, CELLS // length)
         for a in range(0, len(members), step):
             own = members[a:a + step]
-            tokens, counts = viterbi(np.stack([points[i] for i in own]), v)
-            for k, i in enumerate(own):
-                ids = tokens[k, length - counts[k]:]
-                out[i] = with_bytes(ids, points[i], v) if (ids < 0).any() else ids.copy()
-    return out
-
-
-def with_bytes(ids: np.ndarray, points: np.ndarray, v: Vocabulary) -> np.ndarray:
-    """Replaces -1 by the byte pieces of the character it stands for."""
-    out, at = [], 0
-    for t in ids.tolist():
-        if t >= 0:
-            out.append(t)
-            at += int(v.piece_points[t])
-        else:
-            c = int(points[at])
-            out += v.byte_ids[list(chr(MARK if c == LITERAL else c).encode())].tolist()
-            at += 1
-    return np.array(out, dtype=np.int32)
+            codes = code_points([units[i] for i in own], length)
+            tokens, count = viterbi(codes, v)
+            tokens, count = with_bytes(tokens, count, v)
+            order.append(own)
+            ids.append(tokens)
+            counts.append(count)
+    return np.concatenate(order), np.concatenate(ids), np.concatenate(counts)
+
+
+def with_bytes(tokens: np.ndarray, counts: np.ndarray, v: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """Replaces -1 - c by the byte pieces of the character c."""
+    bare = np.flatnonzero(tokens < 0)
+    if not len(bare):
+        return tokens, counts
+    points, which = np.unique(-1 - tokens[bare], return_inverse=True)
+    data = [v.byte_ids[list(chr(MARK if c == LITERAL else c).encode())] for c in points.tolist()]
+    size = np.array([len(d) for d in data])
+    # Read from the byte pieces of these characters, followed by the tokens.
+    source = np.concatenate((*data, tokens))
+    starts, lengths = size.sum() + np.arange(len(tokens)), np.ones(len(tokens), dtype=np.int64)
+    starts[bare], lengths[bare] = (np.cumsum(size) - size)[which], size[which]
+    return source[ragged_ranges(starts, lengths)], np.add.reduceat(lengths, np.cumsum(counts) - counts)
 
 
 class Encoder:
@@ -208,13 +220,13 @@ class Encoder:
         flat = [u for own in units for u in own]
         new = list(set(flat).difference(self.known))
         if new:
-            ids = encode_units(new, self.v)
+            order, ids, sizes = encode_units(new, self.v)
             base = len(self.known)
-            self.known.update(zip(new, range(base, base + len(new))))
-            self.flat = np.concatenate((self.flat, *ids))
-            self.lengths = np.concatenate((self.lengths, [len(x) for x in ids]))
+            self.known.update(zip((new[i] for i in order.tolist()), range(base, base + len(new))))
+            self.flat = np.concatenate((self.flat, ids))
+            self.lengths = np.concatenate((self.lengths, sizes))
         known = self.known
-        index = np.fromiter((known[u] for u in flat), dtype=np.int64, count=len(flat))
+        index = np.array(list(map(known.__getitem__, flat)), dtype=np.int64)
         starts = np.cumsum(self.lengths) - self.lengths
         sizes = self.lengths[index]
         of_text = np.repeat(np.arange(len(batch)), [len(u) for u in units])

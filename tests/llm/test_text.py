@@ -98,10 +98,10 @@ def vocabulary():
 
 
 def piece_scores(v):
-    out = {}
-    for points, ids, scores in zip(v.points, v.ids, v.scores):
-        for p, i, s in zip(points, ids, scores):
-            out["".join(map(chr, p))] = (int(i), float(s))
+    names, out = [""], {}
+    for before, last, ids, scores in zip(v.before, v.last, v.ids, v.scores):
+        names = [names[b] + chr(c) for b, c in zip(before, last)]
+        out |= {p: (int(i), float(s)) for p, i, s in zip(names, ids, scores) if i >= 0}
     return out
 
 
