@@ -1,13 +1,13 @@
 """Exact top-k inner products with an impact-ordered, score-at-a-time index.
 
-Method. Components are quantised to floor(64 x). A block of vectors is indexed
-by dimension: its rows sorted by component, so that the rows of one component
-value are one posting segment. A query's contribution of a segment is its own
-component times the segment's value, the impact its magnitude. Segments are
-processed by descending impact, level by level; after a level every row's score
-is known up to the sum of the largest impacts left in each dimension. The scan
-stops only when that bound proves all but a few rows out, and the possible
-members are then scored exactly.
+Method. Components are quantised to floor(64 x); the impact of a posting is the
+magnitude of its component. A block of vectors is indexed by impact level: the
+segments of a level hold, per dimension, the rows whose component has an
+impact between two thresholds. The segments are processed level by level, by
+descending impact, for a batch of queries at a time. After a level a row's score
+is known up to the threshold times the sum of the query's magnitudes, which
+bounds all postings left. The scan of a query stops only when that bound proves
+all but a few rows out, and the possible members are then scored exactly.
 
 Scale. Queries and vectors are dealt into blocks of bounded size by a hash, and
 every pair of a query block and a vector block is one task group (a stated query
@@ -34,7 +34,8 @@ QUERY_EVERY = 20
 FACTOR = 64
 QUERY_BLOCK = 512
 VECTOR_BLOCK = 8192
-FIRST_LEVEL = 64  # the first level's share of the largest impact
+QUERY_STEP = 128  # queries whose scores are held at a time
+FIRST_LEVEL = 8  # the first threshold's share of the largest impact
 
 
 def matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
@@ -50,67 +51,61 @@ def matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
 
 
 class ImpactIndex:
-    """Posting segments of a block of vectors."""
-
-    def __init__(self, vectors: np.ndarray):
-        n, width = vectors.shape
-        self.vectors = vectors.astype(np.float64)  # whole numbers, exact below 2**53
-        self.order = np.argsort(vectors, axis=0, kind="stable").T.astype(np.int32).ravel()
-        values = np.sort(vectors, axis=0).T
-        self.values = values.astype(np.float64).ravel()
-        self.most = int(np.abs(values).max(initial=0))
-        self.extremes = np.maximum(np.abs(values[:, 0]), np.abs(values[:, -1]))
-        # One sorted key per (dimension, value): a search finds the place of a
-        # value in every dimension at once.
-        self.span = 2 * self.most + 3
-        self.keys = (np.arange(width)[:, None] * self.span + values + self.most + 1).ravel()
-
-    def places(self, dims: np.ndarray, values: np.ndarray, side: str) -> np.ndarray:
-        return np.searchsorted(self.keys, dims * self.span + np.clip(values, -self.most - 1, self.most + 1) + self.most + 1, side=side)
-
-    def possible(self, query: np.ndarray, k: int) -> np.ndarray:
-        """Rows that can be among the k best: all but those proven out."""
-        n = len(self.vectors)
-        dims = np.flatnonzero(query)
-        if n <= 4 * k or not len(dims):
-            return np.arange(n)
-        q = query[dims]
-        size = np.abs(q)
-        score = np.zeros(n)
-        low, high = dims * n, (dims + 1) * n  # [low, high): postings not processed yet
-        level = int((size * self.extremes[dims]).max()) // FIRST_LEVEL
+    """Posting segments of a block of vectors, by impact level."""
+
+    def __init__(self, vectors: np.ndarray, largest_query: int):
+        impact = np.abs(vectors)
+        most = int(impact.max(initial=0))
+        # Whole numbers: exact in floating point below its precision.
+        exact = vectors.shape[1] * most * max(largest_query, 1)
+        self.vectors = vectors.astype(np.float32 if exact < 1 << 24 else np.float64)
+        self.levels: list[tuple[int, np.ndarray]] = []  # threshold, components above it and not above the last one
+        above, threshold = most + 1, most // FIRST_LEVEL
         while True:
-            reach = level // size  # components up to this one stay unprocessed
-            a = np.minimum(np.maximum(self.places(dims, -reach, "left"), low), high)
-            b = np.maximum(np.minimum(self.places(dims, reach, "right"), high), a)
-            for component, l, x, y, h in zip(q.tolist(), low.tolist(), a.tolist(), b.tolist(), high.tolist()):
-                if x > l:
-                    score[self.order[l:x]] += component * self.values[l:x]
-                if y < h:
-                    score[self.order[y:h]] += component * self.values[y:h]
-            low, high = a, b
-            rest = low < high
-            ends = np.maximum(np.abs(self.values[low[rest]]), np.abs(self.values[high[rest] - 1]))
-            left = float((size[rest] * ends).sum())  # a row's score is within this of what it has
-            kth = np.partition(score, n - k)[n - k]
-            members = np.flatnonzero(score >= kth - 2 * left)
-            if len(members) <= max(4 * k, n // 4) or level == 0:
-                return members
-            level //= 2
+            segment = np.where((impact > threshold) & (impact < above), self.vectors, 0)
+            self.levels.append((threshold, np.ascontiguousarray(segment.T)))
+            if threshold == 0:
+                break
+            above, threshold = threshold + 1, threshold // 2
+
+    def possible(self, queries: np.ndarray, k: int) -> list[np.ndarray]:
+        """Per query the rows that can be among the k best: all but those
+        proven out."""
+        n = len(self.vectors)
+        out = [np.arange(n)] * len(queries)
+        if n <= 4 * k:
+            return out
+        few = max(4 * k, n // 8)
+        queries = queries.astype(self.vectors.dtype)
+        mass = np.abs(queries).sum(axis=1)
+        score, active = np.zeros((len(queries), n), dtype=self.vectors.dtype), np.arange(len(queries))
+        for threshold, segment in self.levels:
+            score += queries[active] @ segment
+            kth = np.partition(score, n - k, axis=1)[:, n - k]
+            # A row's score is within threshold * mass of what it has.
+            within = score >= (kth - 2 * threshold * mass[active])[:, None]
+            done = (within.sum(axis=1) <= few) | (threshold == 0)
+            for i in np.flatnonzero(done):
+                out[active[i]] = np.flatnonzero(within[i])
+            score, active = score[~done], active[~done]
+            if not len(active):
+                break
+        return out
 
 
 def best(queries: np.ndarray, query_rows: np.ndarray, vectors: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int) -> tuple:
     """(query index, vec_id, score) of each query's k best rows."""
-    index = ImpactIndex(vectors)
+    index = ImpactIndex(vectors, int(np.abs(queries).max(initial=0)))
     out_q, out_id, out_score = [], [], []
-    for i, q in enumerate(queries):
-        members = index.possible(q, k + 1)  # its own row may be among them
-        members = members[rows[members] != query_rows[i]]
-        score = (index.vectors[members] @ q).astype(np.int64)
-        at = np.lexsort((ids[members], -score))[:k]
-        out_q.append(np.full(len(at), i))
-        out_id.append(ids[members][at])
-        out_score.append(score[at])
+    for start in range(0, len(queries), QUERY_STEP):
+        batch = queries[start:start + QUERY_STEP]
+        for i, members in enumerate(index.possible(batch, k + 1), start):  # its own row may be among them
+            members = members[rows[members] != query_rows[i]]
+            score = (index.vectors[members] @ queries[i].astype(index.vectors.dtype)).astype(np.int64)
+            at = np.lexsort((ids[members], -score))[:k]
+            out_q.append(np.full(len(at), i))
+            out_id.append(ids[members][at])
+            out_score.append(score[at])
     return np.concatenate(out_q), np.concatenate(out_id), np.concatenate(out_score)
 
 

@@ -172,12 +172,13 @@ def test_top_k_with_ties_and_bad_vectors(spark):
 def test_possible_members_hold_the_best():
     rnd = np.random.default_rng(1)
     vectors = rnd.integers(-30, 30, size=(500, 16))
-    index = topk.ImpactIndex(vectors)
-    for q in rnd.integers(-30, 30, size=(40, 16)) * (rnd.random((40, 16)) < 0.6):
-        members = set(index.possible(q, 10).tolist())
-        score = vectors @ q
-        assert set(np.flatnonzero(score > np.sort(score)[-10]).tolist()) <= members
-    assert len(index.possible(np.zeros(16, dtype=int), 10)) == 500
+    queries = rnd.integers(-30, 30, size=(40, 16)) * (rnd.random((40, 16)) < 0.6)
+    for largest in (30, 1 << 30):  # single and double precision
+        index = topk.ImpactIndex(vectors, largest)
+        for q, members in zip(queries, index.possible(queries, 10)):
+            score = vectors @ q
+            assert set(np.flatnonzero(score > np.sort(score)[-10]).tolist()) <= set(members.tolist())
+    assert len(index.possible(np.zeros((1, 16), dtype=int), 10)[0]) == 500
 
 
 # -- mixing ----------------------------------------------------------------------------
