@@ -1,10 +1,13 @@
 """Command-line entry points (``python -m railpulse ...`` or spark-submit).
 
-    stations  --coords PATH --stations-out PATH --lookup-out PATH
-    delays    --records PATH [--records-format parquet|csv] --lookup PATH --out PATH
-              [--start DATE] [--end DATE] [--csv]
+    stations  --coords PATH [--coords-format parquet|csv] --stations-out PATH --lookup-out PATH
+              (ids of a stations table already at --stations-out are kept)
+    delays    --records PATH [--records-format parquet|csv] --lookup PATH [--lookup-format lines|array]
+              --out PATH [--start DATE] [--end DATE] [--csv]
+    initial   [--delays-csv PATH --delays PATH] [--weather-csv PATH --weather PATH]
+              [--stations-csv PATH --stations PATH] [--region-config PATH --regions PATH]
     refresh   --delay-landing P --weather-landing P --delays P --weather P --stations P
-              --checkpoints P --results P [--min-trains N]
+              --checkpoints P --results P [--min-trains N] [--max-files N] [--strict]
     kpis      --delays P --stations P --weather P --results P [--min-trains N]
 
 The session comes from the environment (spark-submit's master and configuration);
@@ -17,7 +20,7 @@ import argparse
 import json
 import sys
 
-from railpulse.constants import DELAYS_ALL, STATION_COORDS, WEATHER_ALL
+from railpulse.constants import DELAYS_ALL, WEATHER_ALL
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -26,24 +29,33 @@ def _parser() -> argparse.ArgumentParser:
     sub = p.add_subparsers(dest="cmd", required=True)
 
     s = sub.add_parser("stations")
-    s.add_argument("--coords", required=True, help="Parquet or CSV with station_name, lat, lon")
+    s.add_argument("--coords", required=True, help="table with station_name, lat, lon")
+    s.add_argument("--coords-format", default="parquet", choices=["parquet", "csv"])
     s.add_argument("--stations-out", required=True)
     s.add_argument("--lookup-out", required=True)
 
     d = sub.add_parser("delays")
     d.add_argument("--records", required=True)
     d.add_argument("--records-format", default="parquet", choices=["parquet", "csv"])
-    d.add_argument("--lookup", required=True, help="lookup JSON (lines or one array)")
+    d.add_argument("--lookup", required=True, help="lookup JSON")
+    d.add_argument("--lookup-format", default="lines", choices=["lines", "array"],
+                   help="lines: as the stations command writes it")
     d.add_argument("--out", required=True)
     d.add_argument("--start")
     d.add_argument("--end")
     d.add_argument("--csv", action="store_true", help="write the CSV export instead of the table")
 
+    i = sub.add_parser("initial")
+    for a in ("delays-csv", "delays", "weather-csv", "weather", "stations-csv", "stations", "region-config", "regions"):
+        i.add_argument(f"--{a}")
+
     r = sub.add_parser("refresh")
     for a in ("delay-landing", "weather-landing", "delays", "weather", "stations", "checkpoints",
               "results"):
         r.add_argument(f"--{a}", required=True)
     r.add_argument("--min-trains", type=int, default=10)
+    r.add_argument("--max-files", type=int, help="landed files per micro-batch")
+    r.add_argument("--strict", action="store_true", help="fail on a missing weather measurement")
 
     k = sub.add_parser("kpis")
     for a in ("delays", "stations", "weather", "results"):
@@ -61,24 +73,34 @@ def main(argv: list[str] | None = None) -> dict:
 
     spark = build_session(args.master)
     if args.cmd == "stations":
-        reader = spark.read.schema(STATION_COORDS)
-        coords = (reader.option("header", True).csv(args.coords) if args.coords.endswith(".csv")
-                  else reader.parquet(args.coords))
+        coords = R.read_coords(spark, args.coords, args.coords_format)
         st = jobs.preprocess_stations(coords, args.stations_out, args.lookup_out)
         out = {"stations": st.count()}
     elif args.cmd == "delays":
         records = R.read_raw_records(spark, args.records, args.records_format)
-        multi = args.lookup.endswith(".json")
-        lookup = R.read_station_lookup(spark, args.lookup, multi_line=multi)
+        lookup = R.read_station_lookup(spark, args.lookup, multi_line=args.lookup_format == "array")
         rep = jobs.preprocess_delays(records, lookup, args.out, args.start, args.end,
                                      fmt="csv" if args.csv else "parquet")
         out = rep.__dict__
+    elif args.cmd == "initial":
+        from railpulse.sources.sinks import merge_days
+        from railpulse.streaming.refresh import WEATHER_KEY, initial_load
+        out = {}
+        if args.delays_csv:
+            out["delays"] = initial_load(spark, args.delays_csv, args.delays)
+        if args.weather_csv:
+            out["weather"] = merge_days(R.read_weather_initial_csv(spark, args.weather_csv), args.weather, WEATHER_ALL, WEATHER_KEY)
+        for name, path, target, read in (("stations", args.stations_csv, args.stations, R.read_stations_csv),
+                                         ("regions", args.region_config, args.regions, R.read_region_config)):
+            if path:
+                read(spark, path).write.mode("overwrite").parquet(target)
+                out[name] = spark.read.parquet(target).count()
     elif args.cmd == "refresh":
         from railpulse.streaming.refresh import RefreshPaths, refresh
         paths = RefreshPaths(args.delay_landing, args.weather_landing, args.delays, args.weather,
                              args.stations, args.checkpoints, args.results)
         out = {f"{r.step}.{r.metric}": r.value
-               for r in refresh(spark, paths, min_trains=args.min_trains).collect()}
+               for r in refresh(spark, paths, args.min_trains, args.max_files, args.strict).collect()}
     else:
         from railpulse.operators.unified import unified_all
         unified = unified_all(read_table(spark, args.delays, DELAYS_ALL), spark.read.parquet(args.stations),

@@ -6,6 +6,9 @@ from pyspark.sql import Column, functions as F
 
 from railpulse.constants import RECORD_TYPE_TERMINAL, RECORD_TYPES_ORIGIN
 
+# Records that name a station.
+STATION_RECORD_TYPES = (*RECORD_TYPES_ORIGIN, RECORD_TYPE_TERMINAL)
+
 # Leading or trailing white space. (?U) switches Java's \s to Unicode white
 # space, so tabs, newlines and no-break spaces go too, not only blanks.
 _EDGE_SPACE = r"(?U)^\s+|\s+$"

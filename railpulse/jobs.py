@@ -9,14 +9,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from railpulse.constants import DELAYS_ALL
 from railpulse.operators import delays as D
-from railpulse.operators import kpis as K
 from railpulse.operators import stations as S
 from railpulse.operators.quality import require_rows
 from railpulse.sources import sinks as SK
+from railpulse.streaming.refresh import write_kpis
 
 
 @dataclass
@@ -26,6 +26,7 @@ class DelayRunReport:
     removed: int
     pct_kept: float | None
     rows_written: int
+    undated: int = 0  # records left out because their date is not readable
 
 
 def preprocess_delays(records: DataFrame, lookup: DataFrame, out_path: str,
@@ -36,7 +37,9 @@ def preprocess_delays(records: DataFrame, lookup: DataFrame, out_path: str,
     ``fmt="parquet"`` appends the range's days to a date-partitioned table
     (repeat-safe); ``fmt="csv"`` writes the export form (header, NULL as
     empty, ordered by date and station)."""
-    named = D.with_station_name(D.in_date_range(records, start, end))
+    dated = Observation("dated")
+    records = records.observe(dated, F.count_if(F.col("service_date").isNull()).alias("undated"))
+    named = D.with_station_name(D.in_date_range(records.where("service_date is not null"), start, end))
     # Counted on the named records (cleaning changes no count), then
     # aggregated with the name cleaning after the first aggregate.
     observed, obs = D.observe_early_filter(named)
@@ -49,35 +52,30 @@ def preprocess_delays(records: DataFrame, lookup: DataFrame, out_path: str,
     m = obs.get or {}
     before, after = int(m.get("total_before", 0)), int(m.get("total_after", 0))
     pct = round(100.0 * after / before, 1) if before else None
-    return DelayRunReport(before, after, before - after, pct, written)
+    return DelayRunReport(before, after, before - after, pct, written, int((dated.get or {}).get("undated", 0)))
 
 
 def preprocess_stations(coords: DataFrame, stations_out: str, lookup_out: str) -> DataFrame:
     """Station coordinates -> the stations table (Parquet) and the id lookup
-    (JSON lines). Returns the stations table as written."""
-    stations = S.stations_regions(require_rows(coords, "station coordinates"))
-    stations.write.mode("overwrite").parquet(stations_out)
-    written = coords.sparkSession.read.parquet(stations_out)
+    (JSON lines). Ids of a stations table that is there already are kept, new
+    names get the next ones. Returns the stations table as written."""
+    spark = coords.sparkSession
+    stored = SK.read_stored(spark, stations_out)
+    if stored is not None:  # read in full before it is replaced
+        stored = S.station_lookup(stored).checkpoint(eager=True)
+    stations = S.stations_regions(require_rows(coords, "station coordinates"), stored=stored)
+    stations.checkpoint(eager=True).write.mode("overwrite").parquet(stations_out)
+    written = spark.read.parquet(stations_out)
     SK.export_lookup_json(S.station_lookup(written), lookup_out)
     return written
 
 
 def kpi_report(spark: SparkSession, unified: DataFrame, out_root: str,
                min_trains: int = 10) -> dict[str, str]:
-    """Write the three KPI tables (and the documented variants) as Parquet."""
+    """Write the KPI tables (with the documented variants, the weather effect and
+    the region share) as Parquet; the unified table's joins run once."""
     out = out_root.rstrip("/")
-    tables = {
-        "kpi_median": K.order_kpi_median(K.kpi_median(unified)),
-        "kpi_delay_score": K.kpi_delay_score(unified, min_trains=min_trains),
-        "kpi_delay_score_as_written": K.kpi_delay_score_as_written(unified),
-        "kpi_resilience": K.kpi_resilience(unified),
-        "kpi_resilience_fixed": K.kpi_resilience(unified, threshold=5.0),
-    }
-    paths = {}
-    for name, df in tables.items():
-        SK.write_result(df, f"{out}/{name}")
-        paths[name] = f"{out}/{name}"
-    return paths
+    return {name: f"{out}/{name}" for name in write_kpis(spark, unified, out, min_trains)}
 
 
 __all__ = ["DelayRunReport", "preprocess_delays", "preprocess_stations", "kpi_report"]

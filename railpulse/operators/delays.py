@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
-from railpulse.functions.names import clean_name, station_of_record
+from railpulse.functions.names import STATION_RECORD_TYPES, clean_name, station_of_record
 
 
 def in_date_range(records: DataFrame, start: str | None, end: str | None,
@@ -30,7 +30,10 @@ def with_station_name(records: DataFrame) -> DataFrame:
 
     NULL and empty names are dropped *before* cleaning, as the source does: a
     name of only quotes or blanks survives and becomes ''."""
-    return (records.withColumn("station_name", station_of_record())
+    # Sections and unknown types name no station; saying so here lets a stored
+    # table skip them in the scan.
+    return (records.where(F.col("record_type").isin(*STATION_RECORD_TYPES))
+                   .withColumn("station_name", station_of_record())
                    .where(F.col("station_name").isNotNull() & (F.col("station_name") != "")))
 
 
@@ -137,3 +140,17 @@ def enforce_delay_schema(staged: DataFrame) -> DataFrame:
         F.col("train_count").try_cast("int").alias("train_count"),
         F.col("avg_delay_minutes").try_cast("double").alias("avg_delay_minutes"),
     )
+
+
+DELAY_TYPES = {"station_id": "int", "total_delay_minutes": "double", "train_count": "int", "avg_delay_minutes": "double"}
+
+
+def with_reject_reason(staged: DataFrame) -> DataFrame:
+    """Adds ``reason`` to text delay rows: the first column (date, station_name, then
+    the numbers) whose value cannot be stored, NULL for a sound row. A row needs a
+    date and a station name; a number may be missing but not unreadable."""
+    reason = F.when(F.col("date").try_cast("date").isNull(), "date").when(
+        F.col("station_name").isNull() | (F.col("station_name") == ""), "station_name")
+    for c, kind in DELAY_TYPES.items():
+        reason = reason.when(F.col(c).isNotNull() & F.col(c).try_cast(kind).isNull(), c)
+    return staged.withColumn("reason", reason)

@@ -62,6 +62,22 @@ def dq_duplicate_keys(stations: DataFrame, lookup: DataFrame, weather: DataFrame
             .unionByName(duplicate_keys(delays, ["date", "station_name"], "delays_all")))
 
 
+class DuplicateKeyError(RuntimeError):
+    pass
+
+
+def require_unique(df: DataFrame, keys: list[str], table: str) -> DataFrame:
+    """Fail when a key of ``df`` is not unique: a join on it would multiply rows."""
+    if not df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").isEmpty():
+        raise DuplicateKeyError(f"{table}: ({', '.join(keys)}) is not unique")
+    return df
+
+
+def dq_rejects(rows: DataFrame) -> DataFrame:
+    """Rejected rows per ``reason``."""
+    return rows.where(F.col("reason").isNotNull()).groupBy("reason").agg(F.count(F.lit(1)).alias("rows"))
+
+
 def weather_gaps(weather: DataFrame, week: DataFrame, region_ids: range = range(8)) -> DataFrame:
     """Every (region, day) of the given week(s) that has no weather row.
 

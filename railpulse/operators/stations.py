@@ -24,32 +24,32 @@ def with_station_ids(coords: DataFrame, num_partitions: int | None = None) -> Da
     return dense_row_ids(coords, ["station_name", "lat", "lon"], "station_id", num_partitions)
 
 
+def with_stable_ids(coords: DataFrame, stored: DataFrame, num_partitions: int | None = None) -> DataFrame:
+    """Like ``with_station_ids``, but a name of the ``stored`` lookup (station_id,
+    station_name) keeps its id and new names get the ids after the largest, so that
+    rows stored with old ids stay right."""
+    known = stored.select(F.col("station_name").alias("_name"), "station_id")
+    last = known.agg(F.coalesce(F.max("station_id"), F.lit(0))).first()[0]
+    joined = coords.join(known, F.col("station_name").eqNullSafe(F.col("_name")), "left").drop("_name")
+    new = joined.where("station_id is null").drop("station_id")
+    return joined.where("station_id is not null").unionByName(
+        dense_row_ids(new, ["station_name", "lat", "lon"], "station_id", num_partitions, start=last + 1))
+
+
 def assign_county(df: DataFrame, lat: str = "lat", lon: str = "lon", boxes=COUNTY_BOXES) -> DataFrame:
     """First matching county box per row, as a CASE chain (no join)."""
     return df.withColumn("county", county_of(lat, lon, boxes))
 
 
-def box_table(spark, boxes=COUNTY_BOXES) -> DataFrame:
-    rows = [(i, *b) for i, b in enumerate(boxes)]
-    return spark.createDataFrame(
-        rows, "priority INT, county STRING, lat_min DOUBLE, lat_max DOUBLE, lon_min DOUBLE, lon_max DOUBLE")
-
-
 def assign_county_by_join(df: DataFrame, lat: str = "lat", lon: str = "lon",
                           boxes=COUNTY_BOXES) -> DataFrame:
-    """The same first match as a range join: the constant box table (20 rows,
-    a fixed size) is broadcast, every containing box is matched, and the box
-    with the lowest priority wins per input row."""
-    b = F.broadcast(box_table(df.sparkSession, boxes))
-    keyed = df.withColumn("_rk", F.monotonically_increasing_id())
-    cond = (F.col(lat).between(b["lat_min"], b["lat_max"])
-            & F.col(lon).between(b["lon_min"], b["lon_max"]))
-    matched = keyed.join(b, cond, "left")
-    others = [c for c in df.columns]
-    return (matched.groupBy("_rk")
-                   .agg(*[F.first(c).alias(c) for c in others],
-                        F.min_by("county", "priority").alias("county"))
-                   .drop("_rk"))
+    """The same first match from the boxes as data: the constant list (20 entries, in
+    order of priority) is joined to each row as an array, the boxes that hold the
+    point are kept, and the first one wins. No row is moved."""
+    table = F.array(*[F.struct(F.lit(n).alias("county"), *[F.lit(x).alias(k) for k, x in zip(("a", "b", "c", "d"), box)])
+                      for n, *box in boxes])
+    holding = F.filter(table, lambda x: F.col(lat).between(x["a"], x["b"]) & F.col(lon).between(x["c"], x["d"]))
+    return df.withColumn("county", F.get(holding, F.lit(0))["county"])
 
 
 def assign_region(df: DataFrame, county: str = "county") -> DataFrame:
@@ -58,9 +58,12 @@ def assign_region(df: DataFrame, county: str = "county") -> DataFrame:
               .withColumn("region_id", region_id_of("region")))
 
 
-def stations_regions(coords: DataFrame, num_partitions: int | None = None) -> DataFrame:
-    """Raw (name, lat, lon) -> the stations table (7 columns, by name)."""
-    s = assign_region(assign_county(with_station_ids(clean_coords(coords), num_partitions)))
+def stations_regions(coords: DataFrame, num_partitions: int | None = None, stored: DataFrame | None = None) -> DataFrame:
+    """Raw (name, lat, lon) -> the stations table (7 columns, by name). With a
+    ``stored`` lookup its ids are kept."""
+    clean = clean_coords(coords)
+    ids = with_station_ids(clean, num_partitions) if stored is None else with_stable_ids(clean, stored, num_partitions)
+    s = assign_region(assign_county(ids))
     return s.select("station_name", F.col("lat").alias("latitude"), F.col("lon").alias("longitude"),
                     "county", "region", "region_id", "station_id")
 

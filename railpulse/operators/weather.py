@@ -18,7 +18,7 @@ def regions_from_config(config: DataFrame) -> DataFrame:
                           "r.region_name", "r.lat", "r.lon"))
 
 
-def flatten_responses(responses: DataFrame, region_col: str = "region_id") -> DataFrame:
+def flatten_responses(responses: DataFrame, region_col: str = "region_id", extra: tuple[str, ...] = ()) -> DataFrame:
     """One response document per region with parallel daily arrays -> one row
     per (region, day). Arrays of unequal length pad with NULL."""
     z = F.arrays_zip(
@@ -27,17 +27,19 @@ def flatten_responses(responses: DataFrame, region_col: str = "region_id") -> Da
         F.col("daily.wind_gusts_10m_max").alias("wind_gust_max_kmh"),
         F.col("daily.precipitation_sum").alias("precipitation_sum_mm"),
     )
-    return responses.select(region_col, F.inline_outer(z)).where(F.col("date").isNotNull())
+    return responses.select(region_col, *extra, F.inline_outer(z)).where(F.col("date").isNotNull())
 
 
-def enforce_weather_schema(df: DataFrame) -> DataFrame:
-    """Typed projection by column name, in the table's column order."""
+def enforce_weather_schema(df: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
+    """Typed projection by column name, in the table's column order; ``extra``
+    columns follow."""
     return df.select(
         F.col("region_id").try_cast("int").alias("region_id"),
         F.col("date").try_cast("date").alias("date"),
         F.col("temperature_mean_c").try_cast("double").alias("temperature_mean_c"),
         F.col("precipitation_sum_mm").try_cast("double").alias("precipitation_sum_mm"),
         F.col("wind_gust_max_kmh").try_cast("double").alias("wind_gust_max_kmh"),
+        *extra,
     )
 
 

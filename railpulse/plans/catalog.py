@@ -19,14 +19,13 @@ from railpulse.operators import quality as Q
 from railpulse.operators import stations as S
 from railpulse.operators import unified as U
 from railpulse.operators import weather as W
-from railpulse.plans.domain import Domain, load_label
+from railpulse.plans.domain import Domain, in_load, load_label
 from railpulse.session import scratch_path
 from railpulse.sources import readers as R
 from railpulse.sources import sinks as SK
 from railpulse.sources import testmap as TM
 
 ORACLE_MIN_TRAINS = 1
-STAGED_WEEK = TM.LOADS[-1]  # the newest weekly load
 
 
 def q_raw_scan(spark: SparkSession, sf: str) -> DataFrame:
@@ -34,20 +33,21 @@ def q_raw_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_date_range(spark: SparkSession, sf: str) -> DataFrame:
-    """Each preprocessing run's inclusive date range over the whole record
-    table: records in range, records naming a station, records kept."""
-    dom = Domain(spark, sf)
-    out = None
-    for name, a, b in TM.LOADS:
-        in_range = D.in_date_range(dom.records(), a, b).withColumn("_st", station_of_record())
-        has_name = F.col("_st").isNotNull() & (F.col("_st") != "")
-        part = in_range.agg(
-            F.lit(name).alias("load"), F.lit(a).cast("date").alias("start_date"),
-            F.lit(b).cast("date").alias("end_date"), F.count(F.lit(1)).alias("records"),
-            F.count_if(has_name).alias("named_records"),
-            F.count_if(has_name & (F.col("delay") >= 0)).alias("kept_records"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    """Each preprocessing run's date range over the whole record table: records
+    in range, records naming a station, records kept. One pass: the runs are
+    conditional counts, then one row per run."""
+    st = F.col("_st")
+    records = Domain(spark, sf).records().withColumn("_st", station_of_record())
+    has_name = st.isNotNull() & (st != "")
+    counts = records.agg(*[
+        F.struct(F.count_if(inside), F.count_if(inside & has_name),
+                 F.count_if(inside & has_name & (F.col("delay") >= 0))).alias(name)
+        for name, inside in ((name, in_load(a, b)) for name, a, b in TM.LOADS)])
+    rows = [F.struct(F.lit(name).alias("load"), F.lit(a).cast("date").alias("start_date"),
+                     F.lit(b).cast("date").alias("end_date"), F.col(f"{name}.col1").alias("records"),
+                     F.col(f"{name}.col2").alias("named_records"), F.col(f"{name}.col3").alias("kept_records"))
+            for name, a, b in TM.LOADS]
+    return counts.select(F.inline(F.array(*rows)))
 
 
 def q_station_of_record(spark: SparkSession, sf: str) -> DataFrame:
@@ -83,30 +83,56 @@ def q_attach_station_id(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_delays_all(spark: SparkSession, sf: str) -> DataFrame:
-    return Domain(spark, sf).delays_by_loads()
+    """The delays table of all loads: together they cover every record, so one
+    pass over the records makes it."""
+    return Domain(spark, sf).delays()
 
 
 def q_delays_schema(spark: SparkSession, sf: str) -> DataFrame:
-    """The newest week staged as text (every column STRING, as in its CSV)
+    """The delays table staged as text (every column STRING, as in its CSV)
     and typed again by name, in the staging column order."""
-    _, a, b = STAGED_WEEK
-    week = Domain(spark, sf).delays(a, b)
-    as_text = week.select(*[F.col(c).cast("string").alias(c) for c in week.columns])
-    return D.enforce_delay_schema(as_text)
+    delays = Domain(spark, sf).delays()
+    return D.enforce_delay_schema(delays.select(*[F.col(c).cast("string").alias(c) for c in delays.columns]))
 
 
 def q_append_week(spark: SparkSession, sf: str) -> DataFrame:
     """Initial load, both weeks, then the newest week again, each appended
     into a date-partitioned table by per-day overwrite; the table read back
-    equals one clean load of everything."""
-    dom = Domain(spark, sf)
+    equals one clean load of everything. The loads are slices of delays that are
+    computed once."""
+    delays = Domain(spark, sf).delays().where("date is not null").checkpoint(eager=True)
     path = scratch_path(spark, "delays_all")
-    loads = list(TM.LOADS) + [TM.LOADS[-1]]
-    for _, a, b in loads:
-        SK.append_days(dom.delays(a, b), path, DELAYS_ALL)
+    for _, a, b in [*TM.LOADS, TM.LOADS[-1]]:
+        SK.append_days(delays.where(in_load(a, b, "date")), path, DELAYS_ALL)
     return SK.read_table(spark, path, DELAYS_ALL)
 
 
+def q_load_conflicts(spark: SparkSession, sf: str) -> DataFrame:
+    """Two loads overlapping in the middle week: the first one brings everything up
+    to the middle week, the second one the middle week again, with every delay two
+    minutes longer, and all that follows. Per (date, station) the newer load wins."""
+    delays = Domain(spark, sf).delays().where("date is not null")
+    (_, _, _), (_, a, b), _ = TM.LOADS
+    first = delays.where(F.col("date") <= F.lit(b).cast("date")).withColumn("loaded", F.lit(1))
+    longer = F.col("total_delay_minutes") + 2
+    second = (delays.where(F.col("date") >= F.lit(a).cast("date")).withColumn("loaded", F.lit(2))
+              .withColumn("avg_delay_minutes", longer / F.col("train_count")).withColumn("total_delay_minutes", longer))
+    return SK.newest_per_key(first.unionByName(second), ["date", "station_name"], ["loaded"]).drop("loaded")
+
+
+def q_dq_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """Typing rejects by reason. The text form of the delays has three faults put
+    in by rule: the id of every 7th train count, the date of every 11th and the
+    total of every 13th are not readable."""
+    delays = Domain(spark, sf).delays()
+    text = delays.select(*[F.col(c).cast("string").alias(c) for c in delays.columns])
+    n = F.col("train_count").cast("int")
+    text = (text.withColumn("station_id", F.when(n % 7 == 0, F.lit("x")).otherwise(F.col("station_id")))
+                .withColumn("date", F.when(n % 11 == 0, F.lit("not a date")).otherwise(F.col("date")))
+                .withColumn("total_delay_minutes", F.when(n % 13 == 0, F.lit("12,5")).otherwise(F.col("total_delay_minutes"))))
+    return Q.dq_rejects(D.with_reject_reason(text))
+
+
 def q_station_ids(spark: SparkSession, sf: str) -> DataFrame:
     return Domain(spark, sf).lookup()
 
@@ -116,6 +142,15 @@ def q_county_of_station(spark: SparkSession, sf: str) -> DataFrame:
     return S.assign_county(coords).select("station_name", "lat", "lon", "county")
 
 
+def q_station_ids_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """Ids of a first run over every station with an even number, kept when the
+    second run brings all of them: new names get the ids after the largest."""
+    coords = S.clean_coords(Domain(spark, sf).coords())
+    even = F.substring("station_name", -1, 1).isin("0", "2", "4", "6", "8")
+    stored = S.station_lookup(S.with_station_ids(coords.where(even)))
+    return S.station_lookup(S.with_stable_ids(coords, stored))
+
+
 def q_county_by_join(spark: SparkSession, sf: str) -> DataFrame:
     coords = S.clean_coords(Domain(spark, sf).coords())
     return S.assign_county_by_join(coords).select("station_name", "lat", "lon", "county")
@@ -165,7 +200,7 @@ def q_unified_wide(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_kpi_median(spark: SparkSession, sf: str) -> DataFrame:
-    return K.order_kpi_median(K.kpi_median(Domain(spark, sf).unified()))
+    return K.order_kpi_median(K.kpi_median_exact(Domain(spark, sf).unified()))
 
 
 def q_kpi_median_exact(spark: SparkSession, sf: str) -> DataFrame:
@@ -173,7 +208,7 @@ def q_kpi_median_exact(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_weather_effect(spark: SparkSession, sf: str) -> DataFrame:
-    return K.weather_effect(K.kpi_median(Domain(spark, sf).unified()))
+    return K.weather_effect(K.kpi_median_exact(Domain(spark, sf).unified()))
 
 
 def q_kpi_delay_score(spark: SparkSession, sf: str) -> DataFrame:
@@ -213,7 +248,7 @@ def q_weather_gaps(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_unmatched_stations(spark: SparkSession, sf: str) -> DataFrame:
     dom = Domain(spark, sf)
-    return Q.unmatched_stations(dom.delays(), dom.lookup())
+    return Q.unmatched_stations(dom.daily(), dom.lookup())
 
 
 def q_dq_stations(spark: SparkSession, sf: str) -> DataFrame:
@@ -238,7 +273,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "delays_all": q_delays_all,
     "delays_schema": q_delays_schema,
     "append_week": q_append_week,
+    "load_conflicts": q_load_conflicts,
+    "dq_rejects": q_dq_rejects,
     "station_ids": q_station_ids,
+    "station_ids_incremental": q_station_ids_incremental,
     "county_of_station": q_county_of_station,
     "county_by_join": q_county_by_join,
     "region_of_county": q_region_of_county,

@@ -1,29 +1,25 @@
 """The domain tables derived from one folder of shared test tables.
 
-Every frame is lazy and derived from the given tables, so its work grows with
-them. The station dimension is materialised once per session and folder (its
-dense ids are computed with a checkpointed range pass), just as the source
-system stores its stations table once and reads it from every query.
+Every frame is derived from the given tables, so its work grows with them. The
+station dimension's dense ids take a checkpointed range pass, which runs when
+the frame is built; a ``Domain`` builds it once and every query makes its own
+``Domain``, so each query pays for it.
 """
 
 from __future__ import annotations
 
-import threading
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from railpulse.operators import delays as D
 from railpulse.operators import stations as S
 from railpulse.sources import testmap as TM
 
-_LOCK = threading.Lock()
-_STATIONS: dict[tuple, DataFrame] = {}
-
 
 class Domain:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._stations: DataFrame | None = None
 
     # -- raw inputs --------------------------------------------------------
     def records(self) -> DataFrame:
@@ -40,15 +36,9 @@ class Domain:
 
     # -- stations ------------------------------------------------------------
     def stations(self) -> DataFrame:
-        key = (id(getattr(self.spark, "_jsparkSession", self.spark)), self.sf_dir)
-        with _LOCK:
-            got = _STATIONS.get(key)
-            if got is None:
-                # Written once to the shared checkpoint folder, like the stored
-                # stations table every query reads.
-                got = S.stations_regions(self.coords()).checkpoint(eager=True)
-                _STATIONS[key] = got
-        return got
+        if self._stations is None:
+            self._stations = S.stations_regions(self.coords())
+        return self._stations
 
     def lookup(self) -> DataFrame:
         return S.station_lookup(self.stations())
@@ -69,24 +59,26 @@ class Domain:
     def delays(self, start=None, end=None) -> DataFrame:
         return D.attach_station_id(self.daily(start, end), self.lookup())
 
-    def delays_by_loads(self) -> DataFrame:
-        """The three preprocessing runs (initial + two weeks), unioned."""
-        out = None
-        for _, a, b in TM.LOADS:
-            part = self.delays(a, b)
-            out = part if out is None else out.unionByName(part)
-        return out
-
     # -- unified -----------------------------------------------------------------
     def unified(self) -> DataFrame:
         from railpulse.operators.unified import unified_all
         return unified_all(self.delays(), self.stations(), self.weather())
 
 
+def in_load(a: str | None, b: str | None, date_col: str = "service_date") -> F.Column:
+    """Whether a date lies in a load's window; None leaves that end open."""
+    c = F.col(date_col)
+    cond = c.isNotNull()
+    if a:
+        cond = cond & (c >= F.lit(a).cast("date"))
+    if b:
+        cond = cond & (c <= F.lit(b).cast("date"))
+    return cond
+
+
 def load_label(date_col: str = "service_date") -> F.Column:
     """Which of the three loads a date belongs to."""
-    expr = None
+    expr = F.when(F.lit(False), F.lit(None).cast("string"))
     for name, a, b in TM.LOADS:
-        cond = F.col(date_col).between(F.lit(a).cast("date"), F.lit(b).cast("date"))
-        expr = F.when(cond, F.lit(name)) if expr is None else expr.when(cond, F.lit(name))
+        expr = expr.when(in_load(a, b, date_col), F.lit(name))
     return expr

@@ -11,7 +11,7 @@ from railpulse.constants import (
     COUNTY_BOXES, COUNTY_REGION, DELAYED_AVG_MINUTES, PRECIP_HIGH_MM, REGION_COORDINATES, REGION_ID,
     TEMP_HIGH_C, TEMP_LOW_C, WIND_HIGH_KMH,
 )
-from railpulse.sources.testmap import LOADS, MAP_DAYS, MAP_START
+from railpulse.sources.testmap import LOADS, MAP_START, WEATHER_DAYS
 
 
 def _q(s: str) -> str:
@@ -31,8 +31,19 @@ _REGION_ID_CASE = "CAST(CASE region " + " ".join(
     f"WHEN {_q(k)} THEN {v}" for k, v in REGION_ID.items()) + " END AS INTEGER)"
 _REGION_NAME_CASE = "CASE region_id " + " ".join(
     f"WHEN {i} THEN {_q(r[0])}" for i, r in enumerate(REGION_COORDINATES)) + " END"
-_LOAD_CASE = "CASE " + " ".join(
-    f"WHEN date BETWEEN DATE {_q(a)} AND DATE {_q(b)} THEN {_q(n)}" for n, a, b in LOADS) + " END"
+
+
+def _window(column: str, a: str | None, b: str | None) -> str:
+    """Condition of a load's window; an open end has no bound."""
+    return " AND ".join([f"{column} IS NOT NULL"] + ([f"{column} >= DATE {_q(a)}"] if a else [])
+                        + ([f"{column} <= DATE {_q(b)}"] if b else []))
+
+
+def _date(x: str | None) -> str:
+    return f"DATE {_q(x)}" if x else "CAST(NULL AS DATE)"
+
+
+_LOAD_CASE = "CASE " + " ".join(f"WHEN {_window('date', a, b)} THEN {_q(n)}" for n, a, b in LOADS) + " END"
 
 _SUPPLIER = "'Supplier#' || lpad(CAST({k} AS VARCHAR), 9, '0')"
 
@@ -80,7 +91,7 @@ WITH_REGION = f"""with_region AS (
 
 STATIONS = """stations AS (
   SELECT station_name, lat AS latitude, lon AS longitude, county, region, region_id,
-         CAST(ROW_NUMBER() OVER (ORDER BY station_name, lat, lon) AS INTEGER) AS station_id
+         CAST(ROW_NUMBER() OVER (ORDER BY station_name NULLS LAST, lat NULLS LAST, lon NULLS LAST) AS INTEGER) AS station_id
   FROM with_region)"""
 
 LOOKUP = "lookup AS (SELECT station_id, station_name FROM stations)"
@@ -92,12 +103,11 @@ DELAYS = """delays AS (
 
 MEASURES = f"""measures AS (
   SELECT CAST(o_custkey % 8 AS INTEGER) AS region_id,
-         DATE {_q(MAP_START)} + CAST(o_orderkey % {MAP_DAYS} AS INTEGER) AS date,
+         DATE {_q(MAP_START)} + CAST(o_orderkey % {WEATHER_DAYS} AS INTEGER) AS date,
          CAST(SUM(o_orderkey) % 450 - 120 AS DOUBLE) / 10 AS temperature_mean_c,
          CAST(SUM(o_orderkey + o_custkey) % 80 AS DOUBLE) / 10 AS precipitation_sum_mm,
          CAST(SUM(o_custkey) % 600 AS DOUBLE) / 10 AS wind_gust_max_kmh
-  FROM orders WHERE o_orderkey % {MAP_DAYS} <> {MAP_DAYS - 1}
-  GROUP BY 1, 2)"""
+  FROM orders GROUP BY 1, 2)"""
 
 WEATHER = f"""weather AS (
   SELECT region_id, date, temperature_mean_c, precipitation_sum_mm, wind_gust_max_kmh,
@@ -194,18 +204,19 @@ LIMIT 10"""
 
 
 def _loads_union(body: str) -> str:
-    return " UNION ALL ".join(body.format(name=_q(n), a=_q(a), b=_q(b)) for n, a, b in LOADS)
+    return " UNION ALL ".join(body.format(name=_q(n), a=_date(a), b=_date(b), window=_window("service_date", a, b))
+                              for n, a, b in LOADS)
 
 
 ORACLE: dict[str, str] = {
     "raw_scan": with_("records") + "SELECT * FROM records",
     "date_range": with_("records") + "SELECT * FROM (" + _loads_union("""
-SELECT {name} AS load, DATE {a} AS start_date, DATE {b} AS end_date, COUNT(*) AS records,
+SELECT {name} AS load, {a} AS start_date, {b} AS end_date, COUNT(*) AS records,
        COUNT(*) FILTER (WHERE st IS NOT NULL AND st <> '') AS named_records,
        COUNT(*) FILTER (WHERE st IS NOT NULL AND st <> '' AND delay >= 0) AS kept_records
 FROM (SELECT *, CASE WHEN record_type IN ('InduloAllomas', 'KozbensoAllomas') THEN origin
                      WHEN record_type = 'ZaroSzakasz' THEN destination END AS st
-      FROM records WHERE service_date BETWEEN DATE {a} AND DATE {b}) r""") + ") u",
+      FROM records WHERE {window}) r""") + ") u",
     "station_of_record": with_("named") +
         "SELECT service_date, record_type, station_name, delay FROM named",
     "clean_names": with_("named") + f"""
@@ -223,11 +234,25 @@ FROM (SELECT {_LOAD_CASE} AS load, COUNT(*) AS total_before,
     "daily_station_delays": with_("daily") + "SELECT * FROM daily",
     "attach_station_id": with_("delays") + "SELECT * FROM delays",
     "delays_all": with_("delays") + "SELECT * FROM delays",
-    "delays_schema": with_("delays") + f"""
-SELECT date, station_name, station_id, total_delay_minutes, train_count, avg_delay_minutes
-FROM delays WHERE date BETWEEN DATE {_q(LOADS[-1][1])} AND DATE {_q(LOADS[-1][2])}""",
-    "append_week": with_("delays") + "SELECT * FROM delays",
+    "delays_schema": with_("delays") + """
+SELECT date, station_name, station_id, total_delay_minutes, train_count, avg_delay_minutes FROM delays""",
+    "append_week": with_("delays") + "SELECT * FROM delays WHERE date IS NOT NULL",
+    "load_conflicts": with_("delays") + f"""
+SELECT date, station_id, station_name, total_delay_minutes, train_count, avg_delay_minutes
+FROM delays WHERE date < {_date(LOADS[1][1])}
+UNION ALL
+SELECT date, station_id, station_name, total_delay_minutes + 2, train_count, (total_delay_minutes + 2) / train_count
+FROM delays WHERE date >= {_date(LOADS[1][1])}""",
+    "dq_rejects": with_("delays") + """
+SELECT reason, COUNT(*) AS rows FROM (
+  SELECT CASE WHEN train_count % 11 = 0 THEN 'date' WHEN train_count % 7 = 0 THEN 'station_id'
+              WHEN train_count % 13 = 0 THEN 'total_delay_minutes' END AS reason FROM delays) r
+WHERE reason IS NOT NULL GROUP BY reason""",
     "station_ids": with_("lookup") + "SELECT * FROM lookup",
+    "station_ids_incremental": with_("coords") + """
+SELECT CAST(ROW_NUMBER() OVER (ORDER BY CASE WHEN right(station_name, 1) IN ('0', '2', '4', '6', '8') THEN 0 ELSE 1 END,
+                               station_name NULLS LAST, lat, lon) AS INTEGER) AS station_id, station_name
+FROM coords""",
     "county_of_station": with_("with_county") + "SELECT station_name, lat, lon, county FROM with_county",
     "county_by_join": with_("with_county") + "SELECT station_name, lat, lon, county FROM with_county",
     "region_of_county": with_("with_region") +

@@ -54,11 +54,23 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return _context_dir(spark) or spark.conf.get("spark.checkpoint.dir", None) or None
 
 
+class MissingCheckpointDirError(RuntimeError):
+    pass
+
+
+def _is_local(spark: SparkSession) -> bool:
+    master = spark.conf.get("spark.master", "local")
+    return master.startswith("local") and not master.startswith("local-cluster")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's checkpoint folder; only when none is configured (local
-    runs and tests) create a private one."""
+    """Use the cluster's checkpoint folder. Only a local master (tests, local
+    runs) gets a private one when none is configured: on a cluster a folder of
+    the driver's machine is not shared, so a missing setting is an error."""
     d = checkpoint_dir(spark)
     if not d:
+        if not _is_local(spark):
+            raise MissingCheckpointDirError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="railpulse-ckpt-")
     if not _context_dir(spark):
         try:
@@ -70,11 +82,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder for a materialised
-    intermediate table (never a machine-local temp folder on a cluster)."""
+    intermediate table (never a machine-local temp folder on a cluster).
+    Delete it with ``drop_scratch`` once nothing reads it any more."""
     base = ensure_checkpoint_dir(spark)
     sep = "" if base.endswith("/") else "/"
     return f"{base}{sep}tables/{name}-{uuid.uuid4().hex[:12]}"
 
 
-__all__ = ["build_session", "checkpoint_dir", "ensure_checkpoint_dir", "scratch_path",
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a folder that ``scratch_path`` named, through Spark's file system."""
+    if "/tables/" not in path:
+        raise ValueError(f"not a scratch folder: {path}")
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+__all__ = ["build_session", "checkpoint_dir", "ensure_checkpoint_dir", "scratch_path", "drop_scratch", "MissingCheckpointDirError",
            "DEFAULT_CONF"]

@@ -1,44 +1,103 @@
-"""Readers. Every text input is read with a declared schema (all STRING,
-bound by header name) and typed by an explicit projection; nothing is
-inferred from the data."""
+"""Readers. Every text input is read as text, bound by the names in its own
+header (files of one folder may order their columns differently), and typed by
+an explicit projection; nothing is inferred from the data."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from railpulse.constants import (
-    DELAYS_ALL, RAW_RECORDS, REGION_CONFIG, STATION_LOOKUP, WEATHER_RESPONSE, WEEK_FILE_PATTERN,
-    all_strings,
+    DELAYS_ALL, RAW_RECORDS, REGION_CONFIG, STATION_COORDS, STATION_LOOKUP, WEATHER_RESPONSE, WEEK_FILE_GLOB,
+    WEEK_FILE_PATTERN,
 )
 from railpulse.functions.weather import parse_decimal_comma
 from railpulse.operators.delays import enforce_delay_schema
 from railpulse.operators.weather import regions_from_config
 
 
+class MissingColumnError(ValueError):
+    pass
+
+
+class FileNameError(ValueError):
+    pass
+
+
+def read_csv_by_header(spark: SparkSession, paths: str | list[str], columns: list[str], null_text: str = "",
+                       glob: str | None = None) -> DataFrame:
+    """CSV files as text columns ``columns``, bound by each file's header.
+
+    Spark binds all files of one read by position, so files are grouped by their
+    header line (listed with the first line of each file only) and every
+    group is read with its own order. Further columns are left out; a missing one
+    is an error that names the file. ``_file`` and ``_modified`` say where a row
+    comes from."""
+    reader = spark.read.option("wholetext", False)
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    files = [r["f"] for r in reader.text(paths).select(F.col("_metadata.file_path").alias("f")).distinct().collect()]
+    by_header: dict[tuple, list[str]] = {}
+    for f in sorted(files):
+        header = tuple(spark.read.option("header", True).option("inferSchema", False).csv(f).columns)
+        missing = [c for c in columns if c not in header]
+        if missing:
+            raise MissingColumnError(f"{f} has no column {', '.join(missing)}")
+        by_header.setdefault(header, []).append(f)
+    parts = [spark.read.schema(T.StructType([T.StructField(c, T.StringType()) for c in header]))
+                 .option("header", True).option("enforceSchema", False).option("nullValue", null_text).csv(group)
+                 .select(*[F.col(f"`{c}`") for c in columns], F.col("_metadata.file_name").alias("_file"),
+                         F.col("_metadata.file_modification_time").alias("_modified"))
+             for header, group in sorted(by_header.items())]
+    if not parts:
+        fields = [T.StructField(c, T.StringType()) for c in [*columns, "_file"]] + [T.StructField("_modified", T.TimestampType())]
+        return spark.createDataFrame([], T.StructType(fields))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 def read_raw_records(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Raw train records. Parquet carries its types; CSV is read as text by
     header name and cast (bad values -> NULL)."""
     if fmt == "parquet":
         return spark.read.schema(RAW_RECORDS).parquet(path)
-    raw = spark.read.schema(all_strings(RAW_RECORDS)).option("header", True).csv(path)
+    raw = read_csv_by_header(spark, path, RAW_RECORDS.fieldNames())
     return raw.select(
         F.col("service_date").try_cast("date").alias("service_date"), "record_type", "origin",
         "destination", F.col("delay").try_cast("double").alias("delay"))
 
 
+def read_coords(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """Station coordinates (station_name, lat, lon), Parquet or CSV by header name."""
+    if fmt == "parquet":
+        return spark.read.schema(STATION_COORDS).parquet(path)
+    raw = read_csv_by_header(spark, path, STATION_COORDS.fieldNames())
+    return raw.select("station_name", *[F.col(c).try_cast("double").alias(c) for c in ("lat", "lon")])
+
+
 def read_station_lookup(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Station lookup JSON: a single array of records (``multi_line``) or
-    JSON lines (what Spark's own writer produces)."""
-    return spark.read.schema(STATION_LOOKUP).option("multiLine", multi_line).json(path)
+    JSON lines (what Spark's own writer produces). The form is the caller's to
+    say; text of the other form fails the read instead of losing rows."""
+    raw = spark.read.schema(STATION_LOOKUP).option("multiLine", multi_line).option("mode", "FAILFAST").json(path)
+    if multi_line:  # JSON lines read as one document would keep the first line only
+        head = spark.read.text(path).where(F.trim("value") != "").first()
+        if head is not None and not head["value"].lstrip().startswith("["):
+            raise ValueError(f"{path} is not one JSON array; read it as JSON lines")
+    return raw
+
+
+def read_delay_text(spark: SparkSession, paths: str | list[str], glob: str | None = None) -> DataFrame:
+    """Delay CSVs (weekly files or the initial history) as text, by header name,
+    with ``_file`` and ``_modified``."""
+    return read_csv_by_header(spark, paths, DELAYS_ALL.fieldNames(), glob=glob)
 
 
 def read_delay_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Delay CSV (weekly file or the initial table text): comma separated,
-    header row, columns bound by name; NULL written as empty text."""
-    raw = (spark.read.schema(all_strings(DELAYS_ALL)).option("header", True)
-                .option("enforceSchema", False).option("nullValue", "").csv(path))
-    typed = enforce_delay_schema(raw)
-    return typed.select(*[f.name for f in DELAYS_ALL.fields])
+    """Delay CSV: comma separated, header row, columns bound by name; NULL
+    written as empty text."""
+    return enforce_delay_schema(read_delay_text(spark, path)).select(*DELAYS_ALL.fieldNames())
 
 
 def read_weather_initial_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -83,8 +142,7 @@ STATIONS_EXPORT = T.StructType([
 def read_stations_csv(spark: SparkSession, path: str, null_text: str = "NA") -> DataFrame:
     """The stations export (7 columns, by header name). Its writer puts the
     text ``NA`` for a missing value, so that text reads as NULL."""
-    raw = (spark.read.schema(STATIONS_EXPORT).option("header", True)
-                .option("enforceSchema", False).option("nullValue", null_text).csv(path))
+    raw = read_csv_by_header(spark, path, STATIONS_EXPORT.fieldNames(), null_text)
     return raw.select(
         "station_name",
         F.col("lat").try_cast("double").alias("latitude"),
@@ -103,13 +161,20 @@ def read_region_config(spark: SparkSession, path: str) -> DataFrame:
 REGION_FILE_PATTERN = r"region_(\d+)"
 
 
-def read_weather_responses(spark: SparkSession, path: str) -> DataFrame:
+CORRUPT = "_corrupt_record"
+
+
+def read_weather_responses(spark: SparkSession, paths: str | list[str], keep_corrupt: bool = False) -> DataFrame:
     """Landed weather responses, one JSON document per file; the region id
-    comes from the file name (``..._region_<id>...json``)."""
-    df = spark.read.schema(WEATHER_RESPONSE).option("multiLine", True).json(path)
-    return df.withColumn(
-        "region_id",
-        F.regexp_extract(F.col("_metadata.file_name"), REGION_FILE_PATTERN, 1).try_cast("int"))
+    comes from the file name (``..._region_<id>...json``). A malformed document
+    fails the read; with ``keep_corrupt`` it becomes a row whose ``_corrupt_record``
+    holds its text. ``_file`` and ``_modified`` say where a row comes from."""
+    schema = T.StructType([*WEATHER_RESPONSE.fields, T.StructField(CORRUPT, T.StringType())]) if keep_corrupt else WEATHER_RESPONSE
+    df = (spark.read.schema(schema).option("multiLine", True).option("mode", "PERMISSIVE" if keep_corrupt else "FAILFAST")
+              .option("columnNameOfCorruptRecord", CORRUPT).json(paths))
+    return df.select(
+        "*", F.regexp_extract(F.col("_metadata.file_name"), REGION_FILE_PATTERN, 1).try_cast("int").alias("region_id"),
+        F.col("_metadata.file_name").alias("_file"), F.col("_metadata.file_modification_time").alias("_modified"))
 
 
 def week_bounds(file_col) -> tuple:
@@ -120,13 +185,16 @@ def week_bounds(file_col) -> tuple:
     return start.try_cast("date"), end.try_cast("date")
 
 
-def newest_week_file(spark: SparkSession, folder: str, glob: str = "delay_data_*") -> DataFrame:
+def newest_week_file(spark: SparkSession, folder: str, glob: str = WEEK_FILE_GLOB) -> DataFrame:
     """One row: the most recently modified weekly file in ``folder`` and the
-    week it covers. Listing only: the file contents are never read."""
+    week it covers. Listing only: the file contents are never read. A newest file
+    whose name does not hold a week is an error, as in the weekly load."""
     files = (spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
                   .select("path", "modificationTime"))
-    newest = files.agg(F.max_by("path", "modificationTime").alias("path"))
+    newest = files.agg(F.max_by("path", F.struct("modificationTime", "path")).alias("path")).where("path is not null")
     name = F.element_at(F.split(F.col("path"), "/"), -1)
     start, end = week_bounds(name)
-    return newest.select("path", name.alias("file_name"), start.alias("start_date"),
-                         end.alias("end_date"))
+    found = newest.select("path", name.alias("file_name"), start.alias("start_date"), end.alias("end_date"))
+    for r in found.where("start_date is null or end_date is null or start_date > end_date").collect():  # one row at most
+        raise FileNameError(f"{r['file_name']} names no week")
+    return found

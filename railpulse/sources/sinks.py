@@ -5,7 +5,9 @@ week twice leaves the table unchanged."""
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, Window, functions as F, types as T
+
+from railpulse.session import ensure_checkpoint_dir
 
 
 class PartialDayError(RuntimeError):
@@ -35,9 +37,9 @@ def export_lookup_json(lookup: DataFrame, path: str) -> None:
     lookup.select("station_id", "station_name").write.mode("overwrite").json(path)
 
 
-def stage_view(df: DataFrame, name: str) -> DataFrame:
-    """A staging table is a temp view: nothing to create on storage, nothing
-    to drop afterwards."""
+def create_view(df: DataFrame, name: str) -> DataFrame:
+    """CREATE OR REPLACE VIEW: a temp view over the (lazy) DataFrame. A staging
+    table is one too: nothing to create on storage, nothing to drop afterwards."""
     df.createOrReplaceTempView(name)
     return df
 
@@ -46,25 +48,56 @@ def create_database(spark: SparkSession, name: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
 
 
-def check_whole_days(batch: DataFrame, table_path: str, spark: SparkSession,
-                     date_col: str = "date") -> None:
-    """Refuse a batch that would shrink a day already stored: a per-date
-    overwrite must carry each of its days whole."""
+def newest_per_key(rows: DataFrame, keys: list[str], newest: list[str]) -> DataFrame:
+    """One row per ``keys``: the one with the largest ``newest`` columns."""
+    order = Window.partitionBy(*keys).orderBy(*[F.desc_nulls_last(c) for c in newest])
+    return rows.withColumn("_nth", F.row_number().over(order)).where("_nth = 1").drop("_nth")
+
+
+def read_stored(spark: SparkSession, table_path: str) -> DataFrame | None:
+    """The stored table, None before its first load."""
     try:
-        stored = spark.read.parquet(table_path)
-    except AnalysisException as e:  # first load: nothing stored yet
+        return spark.read.parquet(table_path)
+    except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-            return
+            return None
         raise
-    new_days = batch.groupBy(date_col).agg(F.count(F.lit(1)).alias("_new"))
+
+
+def check_whole_days(batch: DataFrame, table_path: str, spark: SparkSession,
+                     date_col: str = "date", key_col: str = "station_name") -> None:
+    """Refuse a batch that would lose a stored row: a per-date overwrite must
+    bring every key (``key_col``) that its days hold already."""
+    stored = read_stored(spark, table_path)
+    if stored is None:
+        return
     # Only the batch's days are read back: the semi join lets dynamic
     # partition pruning skip every other date partition of the stored table.
-    old_days = (stored.join(new_days.select(date_col), date_col, "left_semi")
-                      .groupBy(date_col).agg(F.count(F.lit(1)).alias("_old")))
-    shrunk = new_days.join(old_days, date_col).where(F.col("_new") < F.col("_old"))
-    if not shrunk.isEmpty():
-        raise PartialDayError(
-            f"batch holds fewer rows than stored for some day of {table_path}")
+    keys = batch.select(date_col, key_col)
+    old = stored.join(keys.select(date_col).distinct(), date_col, "left_semi")
+    lost = old.join(keys, [date_col, key_col], "left_anti").select(date_col, key_col).first()
+    if lost is not None:
+        raise PartialDayError(f"the batch lacks {lost[1]} on {lost[0]}, which {table_path} holds")
+
+
+def merge_days(batch: DataFrame, table_path: str, schema: T.StructType, keys: list[str],
+               partition_col: str = "date") -> int:
+    """Insert or replace rows by ``keys`` in a table partitioned by day: a row of
+    the batch replaces the stored row of its key, other rows of the day stay. Only
+    the batch's days are read and written, one writer's files per day. The merged
+    days are checkpointed before they replace what was read. Returns the number of
+    batch rows."""
+    spark = batch.sparkSession
+    ensure_checkpoint_dir(spark)
+    batch = batch.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    stored = read_stored(spark, table_path)
+    merged = batch
+    if stored is not None:
+        old = stored.join(batch.select(partition_col).distinct(), partition_col, "left_semi") \
+            .join(batch.select(*keys), keys, "left_anti")
+        merged = batch.unionByName(old.select(*batch.columns))
+    append_days(merged.checkpoint(eager=True), table_path, schema, partition_col)
+    return batch.count()
 
 
 def append_days(batch: DataFrame, table_path: str, schema: T.StructType,
@@ -77,16 +110,16 @@ def append_days(batch: DataFrame, table_path: str, schema: T.StructType,
     AQE splits a day that holds far more rows than the others across several
     tasks instead of one.
     Returns the number of rows written, counted during the write itself.
-
-    ``partition_col`` may name several columns: a table fed one region per
-    file (weather) is partitioned by (date, region_id), so a file replaces its
-    own region-days and never the other regions of the same day.
+    Rows with a NULL partition value are refused.
     """
     spark = batch.sparkSession
     parts = [partition_col] if isinstance(partition_col, str) else list(partition_col)
     if check_partial:
         check_whole_days(batch, table_path, spark, parts[0])
-    cols = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
+    # Rows without a day would share one partition, and each load would replace
+    # the last one's: such a row fails the write.
+    cols = [F.coalesce(F.col(f.name).cast(f.dataType), F.raise_error(F.lit(f"row without {f.name}")).cast(f.dataType)).alias(f.name)
+            if f.name in parts else F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
     obs = Observation("append_days")
     (batch.select(*cols)
           .observe(obs, F.count(F.lit(1)).alias("rows"))
@@ -95,10 +128,7 @@ def append_days(batch: DataFrame, table_path: str, schema: T.StructType,
           .option("partitionOverwriteMode", "dynamic")
           .partitionBy(*parts)
           .parquet(table_path))
-    try:
-        return int(obs.get.get("rows", 0))
-    except Exception:  # no metrics row: no task ran, so no row was written
-        return 0
+    return int(obs.get.get("rows", 0))  # without a task there is no metric and no row
 
 
 def read_table(spark: SparkSession, table_path: str, schema: T.StructType) -> DataFrame:
@@ -107,12 +137,6 @@ def read_table(spark: SparkSession, table_path: str, schema: T.StructType) -> Da
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def create_view(df: DataFrame, name: str) -> DataFrame:
-    """CREATE OR REPLACE VIEW: a temp view over the (lazy) DataFrame."""
-    df.createOrReplaceTempView(name)
-    return df
-
-
 def write_result(df: DataFrame, path: str) -> None:
     """Store a query result (KPI tables) as Parquet, replacing the last run."""
     df.write.mode("overwrite").parquet(path)

@@ -14,13 +14,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from railpulse.functions.weather import high_precip, high_temp, high_wind
 
 MAP_START = "2024-01-01"  # first day of the synthetic period
-MAP_DAYS = 30  # days in the synthetic period; the last one has no weather
+WEATHER_DAYS = 29  # days with weather; the records' 30th day has none
 # The three loads of the synthetic period, as the source system ran its
-# preprocessing three times: an initial load and two weekly loads.
+# preprocessing three times: an initial load and two weekly loads. The first
+# and the last are open, so that no dated record is outside all of them.
 LOADS = (
-    ("initial", "2024-01-01", "2024-01-16"),
+    ("initial", None, "2024-01-16"),
     ("week_1", "2024-01-17", "2024-01-23"),
-    ("week_2", "2024-01-24", "2024-01-30"),
+    ("week_2", "2024-01-24", None),
 )
 
 
@@ -61,12 +62,11 @@ def station_coords(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def weather_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One weather row per (region, day) from orders; the last day is left
-    out so that some station-days have no weather."""
-    o = table(spark, sf_dir, "orders").where(F.col("o_orderkey") % MAP_DAYS != MAP_DAYS - 1)
-    g = o.groupBy(
+    """One weather row per (region, day) from all orders. They spread over one
+    day less than the records, so that some station-days have no weather."""
+    g = table(spark, sf_dir, "orders").groupBy(
         (F.col("o_custkey") % 8).cast("int").alias("region_id"),
-        F.date_add(F.lit(MAP_START).cast("date"), (F.col("o_orderkey") % MAP_DAYS).cast("int"))
+        F.date_add(F.lit(MAP_START).cast("date"), (F.col("o_orderkey") % WEATHER_DAYS).cast("int"))
          .alias("date"),
     ).agg(
         F.sum("o_orderkey").alias("_sk"),

@@ -1,135 +1,199 @@
 """Incremental loads of newly arrived files, and the weekly refresh.
 
-Each landing folder is a Structured Streaming file source run with
+Each landing folder is a Structured Streaming source of file names run with
 ``trigger(availableNow=True)``: every file not yet recorded in the query's
-checkpoint is processed once, then the query stops. A second run over the same
-folder processes nothing. Each micro-batch is written with a per-day overwrite
-(``append_days``), so a batch retried after a failure, or a week delivered
-twice under a new name, leaves the table unchanged.
+checkpoint is read once, then the query stops. A second run over the same
+folder reads nothing. A micro-batch reads its files by header name and
+keeps, per key, the row of the newest file, so a week that lies there twice counts
+once. Rows that cannot be stored go to ``<table>_rejects`` with their reason and
+file. A file that cannot be loaded (empty, malformed, badly named, or lacking
+stored rows of its days) is recorded, the batch is committed, so later files still
+load, and the load fails once the query has ended. A batch retried after a failure
+writes the same rows again.
 """
 
 from __future__ import annotations
 
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from railpulse.constants import (
-    DELAYS_ALL, STATIONS_REGIONS, WEATHER_ALL, WEATHER_RESPONSE, WEEK_FILE_GLOB, all_strings,
-)
+from railpulse.constants import DELAYS_ALL, STATIONS_REGIONS, WEATHER_ALL, WEEK_FILE_GLOB
 from railpulse.operators import kpis as K
-from railpulse.operators.delays import enforce_delay_schema
-from railpulse.operators.quality import EmptyInputError, weather_gaps
+from railpulse.operators import quality as Q
+from railpulse.operators.delays import with_reject_reason
 from railpulse.operators.unified import unified_all
-from railpulse.operators.weather import weather_from_responses
-from railpulse.sources.readers import REGION_FILE_PATTERN, week_bounds
-from railpulse.sources.readers import newest_week_file, read_delay_csv
-from railpulse.sources.sinks import append_days, read_table, write_result
+from railpulse.operators.weather import enforce_weather_schema, flatten_responses, with_flags
+from railpulse.session import drop_scratch, scratch_path
+from railpulse.sources.readers import CORRUPT, newest_week_file, read_delay_text, read_weather_responses, week_bounds
+from railpulse.sources.sinks import PartialDayError, append_days, check_whole_days, merge_days, newest_per_key, read_table, write_result
 
+# Files of one micro-batch, so that a large backlog runs in bounded steps.
+MAX_FILES = 1000
+DELAY_KEY = ["date", "station_name"]
+WEATHER_KEY = ["date", "region_id"]
+NEWEST = ["_modified", "_file"]
 
-def _reader(spark: SparkSession, max_files: int | None):
-    r = spark.readStream
-    # availableNow honours this limit: a large backlog of landed files is
-    # processed in several bounded micro-batches instead of one huge one.
-    return r.option("maxFilesPerTrigger", max_files) if max_files else r
 
+class LoadError(RuntimeError):
+    """Files that could not be loaded; everything else of the load is stored."""
 
-# One weather file covers one region: its rows replace (date, region) cells.
-WEATHER_PARTITIONS = ["date", "region_id"]
 
+@dataclass
+class LoadResult:
+    name: str
+    batches: int = 0
+    input_rows: int = 0
+    superseded: int = 0
+    rejected: int = 0
+    issues: list[str] = field(default_factory=list)
 
-def delay_file_stream(spark: SparkSession, folder: str, glob: str = WEEK_FILE_GLOB,
-                      max_files: int | None = None) -> DataFrame:
-    """New weekly delay CSVs (header, by name) with the week each file covers."""
-    raw = (_reader(spark, max_files).schema(all_strings(DELAYS_ALL)).option("header", True)
-                .option("enforceSchema", False).option("nullValue", "")
-                .option("pathGlobFilter", glob).csv(folder))
-    start, end = week_bounds(F.col("_metadata.file_name"))
-    return (raw.withColumn("week_start", start).withColumn("week_end", end)
-               .withColumn("file_name", F.col("_metadata.file_name")))
 
+def _landed(spark: SparkSession, folder: str, glob: str, max_files: int | None) -> DataFrame:
+    """New files of a folder: their names only, the contents are not read here."""
+    return (spark.readStream.format("binaryFile").option("pathGlobFilter", glob)
+                 .schema("path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY")
+                 .option("maxFilesPerTrigger", max_files or MAX_FILES).load(folder).select("path"))
 
-def weather_file_stream(spark: SparkSession, folder: str, glob: str = "*.json",
-                        max_files: int | None = None) -> DataFrame:
-    """New weather responses, one JSON document per file; region id from the
-    file name."""
-    raw = (_reader(spark, max_files).schema(WEATHER_RESPONSE).option("multiLine", True)
-                .option("pathGlobFilter", glob).json(folder))
-    return raw.withColumn(
-        "region_id",
-        F.regexp_extract(F.col("_metadata.file_name"), REGION_FILE_PATTERN, 1).try_cast("int"))
 
+def _names(batch: DataFrame) -> list[str]:
+    return sorted(r["path"] for r in batch.collect())  # at most MAX_FILES names
 
-@dataclass
-class LoadResult:
-    name: str
-    batches: int
-    input_rows: int
 
+def _quarantine(rows: DataFrame, table_path: str, query: str, epoch_id: int) -> int:
+    """Store rejected rows beside the table; a replayed batch replaces its own."""
+    rows = rows.where(F.col("reason").isNotNull())
+    n = rows.count()
+    if n:
+        rows.write.mode("overwrite").json(f"{table_path.rstrip('/')}_rejects/{query}_{epoch_id}")
+    return n
+
+
+def _load(spark: SparkSession, folder: str, glob: str, checkpoint: str, max_files: int | None, name: str, write):
+    """A running query that hands each micro-batch's file names to ``write``, with
+    the result it fills."""
+    result = LoadResult(f"{name}_{uuid.uuid4().hex[:8]}")
+
+    def write_batch(batch: DataFrame, epoch_id: int) -> None:
+        files = _names(batch)
+        if files:
+            result.batches += 1
+            write(files, epoch_id, result)
 
-def _batches_progress(q) -> tuple[int, int]:
-    prog = [p for p in q.recentProgress if p.get("numInputRows", 0) > 0]
-    return len(prog), sum(int(p["numInputRows"]) for p in prog)
+    query = (_landed(spark, folder, glob, max_files).writeStream.queryName(result.name)
+             .trigger(availableNow=True).option("checkpointLocation", checkpoint)
+             .foreachBatch(write_batch).start())
+    return query, result
 
 
 def start_delay_load(spark: SparkSession, landing: str, table_path: str, checkpoint: str,
                      max_files: int | None = None):
-    """Start the delay load (returns the running query)."""
-    def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        # The batch is checked (no stored day may shrink) and then written:
-        # persisted for the two passes so the landed files are read once.
-        typed = enforce_delay_schema(batch).persist()
+    """Start the delay load (returns the running query and its result)."""
+    def write(files: list[str], epoch_id: int, result: LoadResult) -> None:
+        start, end = week_bounds(F.col("_file"))
+        text = read_delay_text(spark, files).withColumn("_start", start).withColumn("_end", end)
+        text = with_reject_reason(text).persist()
         try:
-            if append_days(typed, table_path, DELAYS_ALL, check_partial=True) == 0:
-                raise EmptyInputError(f"delay batch {epoch_id} holds no rows")
+            date = F.col("date").try_cast("date")
+            text = text.withColumn("reason", F.coalesce(
+                "reason", F.when(F.col("_start").isNull() | F.col("_end").isNull(), "file name"),
+                F.when((date < F.col("_start")) | (date > F.col("_end")), "outside the file's week")))
+            rows = {r["_file"]: r for r in text.groupBy("_file").agg(
+                F.count(F.lit(1)).alias("n"), F.count_if(F.col("reason") == "file name").alias("unnamed")).collect()}
+            for f in files:
+                own = rows.get(f.rsplit("/", 1)[-1])
+                if own is None:
+                    result.issues.append(f"{f} holds no rows")
+                elif own["unnamed"]:
+                    result.issues.append(f"{f} names no week")
+            sound = text.where("reason is null").select(
+                *[F.col(c.name).try_cast(c.dataType).alias(c.name) for c in DELAYS_ALL.fields], *NEWEST)
+            newest = newest_per_key(sound, DELAY_KEY, NEWEST).drop(*NEWEST).persist()
+            total, kept = sum(r["n"] for r in rows.values()), newest.count()
+            rejected = _quarantine(text, table_path, "delays", epoch_id)
+            result.input_rows += total
+            result.rejected += rejected
+            result.superseded += total - rejected - kept
+            try:
+                check_whole_days(newest, table_path, spark)
+            except PartialDayError as e:
+                result.issues.append(str(e))
+                result.rejected += _quarantine(newest.withColumn("reason", F.lit("partial day")), table_path, "partial", epoch_id)
+            else:
+                append_days(newest, table_path, DELAYS_ALL)
+            newest.unpersist()
         finally:
-            typed.unpersist()
+            text.unpersist()
 
-    return (delay_file_stream(spark, landing, max_files=max_files).writeStream
-            .queryName(f"delay_load_{uuid.uuid4().hex[:8]}")
-            .trigger(availableNow=True)
-            .option("checkpointLocation", checkpoint)
-            .foreachBatch(write_batch).start())
+    return _load(spark, landing, WEEK_FILE_GLOB, checkpoint, max_files, "delay_load", write)
 
 
 def start_weather_load(spark: SparkSession, landing: str, table_path: str, checkpoint: str,
-                       max_files: int | None = None):
-    """Start the weather load (returns the running query)."""
-    def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        if append_days(weather_from_responses(batch), table_path, WEATHER_ALL,
-                       partition_col=WEATHER_PARTITIONS) == 0:
-            raise EmptyInputError(f"weather batch {epoch_id} holds no rows")
+                       max_files: int | None = None, strict: bool = False, region_ids: range = range(8)):
+    """Start the weather load (returns the running query and its result).
+    ``strict`` fails on a NULL measurement; a file whose region is not one of
+    ``region_ids`` (the positions of the region configuration) is not loaded."""
+    def write(files: list[str], epoch_id: int, result: LoadResult) -> None:
+        documents = read_weather_responses(spark, files, keep_corrupt=True).persist()
+        try:
+            known = F.col("region_id").isin(*region_ids)
+            reason = F.when(F.col(CORRUPT).isNotNull() | F.col("daily").isNull(), "malformed document") \
+                .when(~F.coalesce(known, F.lit(False)), "region of the file name")
+            documents = documents.withColumn("reason", reason)
+            days = flatten_responses(documents.where("reason is null"), extra=("_file", "_modified"))
+            typed = enforce_weather_schema(days, extra=("_file", "_modified")).persist()
+            loaded = {r["_file"] for r in typed.select("_file").distinct().collect()}
+            for r in documents.select("_file", "reason").collect():  # a row per file
+                if r["reason"]:
+                    result.issues.append(f"{r['_file']}: {r['reason']}")
+                elif r["_file"] not in loaded:
+                    result.issues.append(f"{r['_file']} holds no rows")
+            sound = typed.where("date is not null")
+            newest = newest_per_key(sound, WEATHER_KEY, NEWEST).drop(*NEWEST)
+            total, dated = typed.count(), sound.count()
+            rejected = _quarantine(typed.withColumn("reason", F.when(F.col("date").isNull(), "date")), table_path, "weather", epoch_id)
+            _quarantine(documents, table_path, "documents", epoch_id)
+            kept = merge_days(with_flags(newest, strict), table_path, WEATHER_ALL, WEATHER_KEY)
+            result.input_rows += len(files)
+            result.rejected += rejected
+            result.superseded += dated - kept
+            assert total == dated + rejected
+            typed.unpersist()
+        finally:
+            documents.unpersist()
 
-    return (weather_file_stream(spark, landing, max_files=max_files).writeStream
-            .queryName(f"weather_load_{uuid.uuid4().hex[:8]}")
-            .trigger(availableNow=True)
-            .option("checkpointLocation", checkpoint)
-            .foreachBatch(write_batch).start())
+    return _load(spark, landing, "*.json", checkpoint, max_files, "weather_load", write)
 
 
-def initial_load(spark: SparkSession, csv_path: str, table_path: str) -> None:
-    """Batch entry point: load a whole delay CSV (e.g. the initial history)."""
-    append_days(read_delay_csv(spark, csv_path), table_path, DELAYS_ALL)
+def initial_load(spark: SparkSession, csv_path: str, table_path: str) -> int:
+    """Batch entry point: load a whole delay CSV (e.g. the initial history); per
+    (date, station) the newest file's row counts, unreadable rows fail the load."""
+    text = with_reject_reason(read_delay_text(spark, csv_path))
+    bad = F.raise_error(F.concat(F.lit("unreadable "), F.col("reason"), F.lit(" in "), F.col("_file")))
+    rows = text.select(*[F.when(F.col("reason").isNull(), F.col(c.name).try_cast(c.dataType)).otherwise(bad.cast(c.dataType)).alias(c.name)
+                         for c in DELAYS_ALL.fields], *NEWEST)
+    return append_days(newest_per_key(rows, DELAY_KEY, NEWEST), table_path, DELAYS_ALL)
 
 
-def _await(queries: list) -> list[LoadResult]:
-    """Wait for every load; the first failure stops the others and is raised."""
-    results, error = [], None
-    for q in queries:
+def _await(loads: list) -> list[LoadResult]:
+    """Wait for every load. The first failed query stops the others and is raised;
+    files that could not be loaded are raised once all queries have ended."""
+    error = None
+    for q, _ in loads:
         try:
             q.awaitTermination()
         except Exception as e:  # noqa: BLE001 - re-raised below
             error = error or e
-            for other in queries:
+            for other, _ in loads:
                 if other.isActive:
                     other.stop()
     if error is not None:
         raise error
-    for q in queries:
-        b, n = _batches_progress(q)
-        results.append(LoadResult(q.name, b, n))
-    return results
+    issues = [i for _, r in loads for i in r.issues]
+    if issues:
+        raise LoadError("; ".join(issues))
+    return [r for _, r in loads]
 
 
 def load_delays(spark: SparkSession, landing: str, table_path: str, checkpoint: str,
@@ -137,8 +201,9 @@ def load_delays(spark: SparkSession, landing: str, table_path: str, checkpoint:
     return _await([start_delay_load(spark, landing, table_path, checkpoint, max_files)])[0]
 
 
-def load_weather(spark: SparkSession, landing: str, table_path: str, checkpoint: str) -> LoadResult:
-    return _await([start_weather_load(spark, landing, table_path, checkpoint)])[0]
+def load_weather(spark: SparkSession, landing: str, table_path: str, checkpoint: str,
+                 max_files: int | None = None, strict: bool = False) -> LoadResult:
+    return _await([start_weather_load(spark, landing, table_path, checkpoint, max_files, strict)])[0]
 
 
 @dataclass
@@ -152,33 +217,55 @@ class RefreshPaths:
     results: str
 
 
-def refresh(spark: SparkSession, p: RefreshPaths, min_trains: int = 10) -> DataFrame:
-    """The weekly refresh: both loads side by side (independent sinks), then
-    the unified table and the three KPI tables. Any failed load stops the
-    refresh before the KPIs are touched. Returns a small summary table."""
+def refresh(spark: SparkSession, p: RefreshPaths, min_trains: int = 10, max_files: int | None = None,
+            strict: bool = False) -> DataFrame:
+    """The weekly refresh: both loads side by side (independent sinks), the key
+    checks the joins rely on, the unified table (written once), then the KPI
+    tables from it and the quality reports. A failed load or a key that is not
+    unique stops the refresh before the KPIs are touched. Returns a small summary
+    table."""
     ck = p.checkpoints.rstrip("/")
     loads = _await([
-        start_delay_load(spark, p.delay_landing, p.delays_table, f"{ck}/delays"),
-        start_weather_load(spark, p.weather_landing, p.weather_table, f"{ck}/weather"),
+        start_delay_load(spark, p.delay_landing, p.delays_table, f"{ck}/delays", max_files),
+        start_weather_load(spark, p.weather_landing, p.weather_table, f"{ck}/weather", max_files, strict),
     ])
-    delays = read_table(spark, p.delays_table, DELAYS_ALL)
-    weather = read_table(spark, p.weather_table, WEATHER_ALL)
-    stations = spark.read.parquet(p.stations_table).select(*[f.name for f in STATIONS_REGIONS.fields])
-    unified = unified_all(delays, stations, weather)
+    delays = Q.require_unique(read_table(spark, p.delays_table, DELAYS_ALL), DELAY_KEY, "delays_all")
+    weather = Q.require_unique(read_table(spark, p.weather_table, WEATHER_ALL), WEATHER_KEY, "weather_all")
+    stations = spark.read.parquet(p.stations_table).select(*STATIONS_REGIONS.fieldNames())
+    stations = Q.require_unique(Q.require_unique(stations, ["station_id"], "stations_regions"), ["station_name"], "stations_regions")
     out = p.results.rstrip("/")
-    kpis = {
-        "kpi_median": K.kpi_median(unified),
-        "kpi_delay_score": K.kpi_delay_score(unified, min_trains=min_trains),
-        "kpi_resilience": K.kpi_resilience(unified),
-    }
-    rows = []
-    for name, df in kpis.items():
-        write_result(df, f"{out}/{name}")
-        rows.append((name, "kpi_rows", spark.read.parquet(f"{out}/{name}").count()))
+    rows = [(name, "kpi_rows", n) for name, n in write_kpis(spark, unified_all(delays, stations, weather), out, min_trains).items()]
     for r in loads:
-        rows.append((r.name, "input_rows", r.input_rows))
-        rows.append((r.name, "batches", r.batches))
+        rows += [(r.name, m, getattr(r, m)) for m in ("input_rows", "batches", "superseded", "rejected")]
     # The weather must cover the week of the newest delay file, for every region.
-    week = newest_week_file(spark, p.delay_landing).where(F.col("start_date").isNotNull())
-    rows.append(("weather", "missing_cells_newest_week", weather_gaps(weather, week).count()))
+    week = newest_week_file(spark, p.delay_landing)
+    rows.append(("weather", "missing_cells_newest_week", Q.weather_gaps(weather, week).count()))
+    rows.append(("stations", "unmatched_names", Q.unmatched_stations(delays, stations).count()))
+    report = Q.dq_stations(stations).first()
+    rows += [("stations", c, report[c]) for c in report.asDict()]
     return spark.createDataFrame(rows, "step STRING, metric STRING, value BIGINT")
+
+
+def write_kpis(spark: SparkSession, unified: DataFrame, out: str, min_trains: int = 10) -> dict[str, int]:
+    """Write every KPI table from the unified table, which is stored once in the
+    shared folder so that its joins run once; returns the rows of each."""
+    path = scratch_path(spark, "unified_all")
+    try:
+        unified.write.parquet(path)
+        stored = spark.read.schema(unified.schema).parquet(path)
+        median = K.kpi_median_exact(stored)
+        score = K.kpi_delay_score(stored, min_trains=min_trains)
+        tables = {
+            "kpi_median": K.order_kpi_median(median),
+            "weather_effect": K.weather_effect(median),
+            "kpi_delay_score": score,
+            "worst_region_share": K.region_share(score),
+            "kpi_delay_score_as_written": K.kpi_delay_score_as_written(stored),
+            "kpi_resilience": K.kpi_resilience(stored),
+            "kpi_resilience_fixed": K.kpi_resilience(stored, threshold=5.0),
+        }
+        for name, df in tables.items():
+            write_result(df, f"{out}/{name}")
+    finally:
+        drop_scratch(spark, path)
+    return {name: spark.read.parquet(f"{out}/{name}").count() for name in tables}
