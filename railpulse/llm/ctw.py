@@ -41,12 +41,13 @@ from railpulse.llm.common import fold, materialise, ragged_ranges, steps, texts
 DEPTH = 5
 TOP = 2  # bytes of context shared within a part of the tree
 END = 0xFF  # never a byte of UTF-8
-MODEL_GRAMS = 1_500_000
+MODEL_GRAMS = 800_000
 FREQUENT = 1 << 17
 FREQUENT_BYTES = 64
 FOLDS = 10
 HELD = 1 << 21  # entries that a counting task holds before it hands them on
 CACHE_BITS = 21
+LEAST_WEIGHT = 1e-6
 SMOOTHING = 0.1
 
 
@@ -205,7 +206,7 @@ class Tree:
     def add(self, key: np.ndarray, zeros: np.ndarray, ones: np.ndarray, weight: np.ndarray) -> None:
         self.keys.append(key)
         self.ones.append(np.log((ones + 0.5) / (zeros + 0.5)).astype(np.float16))
-        w = np.clip(weight, 1e-6, 1 - 1e-6)
+        w = np.clip(weight, LEAST_WEIGHT, 1 - LEAST_WEIGHT)
         self.weights.append(np.log(w / (1 - w)).astype(np.float16))
 
     def log10_probability(self, grams: np.ndarray) -> np.ndarray:
@@ -281,11 +282,18 @@ def fit_tree(train: DataFrame, depth: int = DEPTH, model_grams: int = MODEL_GRAM
     root_below = np.bincount(root, log_p, len(root_key))
     tree.add(root_key, root_zeros, root_ones, weigh(root_zeros, root_ones, root_below)[0])
     tree.add(key, zeros, one, weight)
-    for level in range(TOP, depth + 1):  # in all at most 8 decisions per kept gram and level
-        got = nodes.where(F.col("level") == level).select("key", "zeros", "ones", "weight").toArrow()
-        key = got["key"].to_numpy()
+    # In all at most 8 decisions per kept gram and level, 16 bytes each.
+    w = F.least(F.greatest("weight", F.lit(LEAST_WEIGHT)), F.lit(1 - LEAST_WEIGHT))
+    odds = nodes.select("level", "key", F.log((F.col("ones") + 0.5) / (F.col("zeros") + 0.5)).cast("float").alias("ones"),
+                        F.log(w / (1 - w)).cast("float").alias("weight"))
+    for level in range(TOP, depth + 1):
+        got = odds.where(F.col("level") == level).select("key", "ones", "weight").toArrow()
+        key, one, own = (got[c].to_numpy() for c in ("key", "ones", "weight"))
+        del got
         at = np.argsort(key, kind="stable")
-        tree.add(key[at], *(got[c].to_numpy()[at] for c in ("zeros", "ones", "weight")))
+        tree.keys.append(key[at])
+        tree.ones.append(one[at].astype(np.float16))
+        tree.weights.append(own[at].astype(np.float16))
     return tree
 
 
