@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -83,10 +84,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder for a materialised
     intermediate table (never a machine-local temp folder on a cluster).
-    Delete it with ``drop_scratch`` once nothing reads it any more."""
+    Delete it with ``drop_scratch`` once nothing reads it any more; what is left
+    goes when the driver ends."""
     base = ensure_checkpoint_dir(spark)
     sep = "" if base.endswith("/") else "/"
-    return f"{base}{sep}tables/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}{sep}tables/{name}-{uuid.uuid4().hex[:12]}"
+    if not _SCRATCH:
+        atexit.register(_drop_all_scratch, spark)
+    _SCRATCH.add(path)
+    return path
+
+
+_SCRATCH: set[str] = set()
+
+
+def _drop_all_scratch(spark: SparkSession) -> None:
+    if spark.sparkContext._jsc is None:  # stopped before: nothing can be reached any more
+        return
+    for path in list(_SCRATCH):
+        drop_scratch(spark, path)
 
 
 def drop_scratch(spark: SparkSession, path: str) -> None:
@@ -96,6 +112,7 @@ def drop_scratch(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    _SCRATCH.discard(path)
 
 
 __all__ = ["build_session", "checkpoint_dir", "ensure_checkpoint_dir", "scratch_path", "drop_scratch", "MissingCheckpointDirError",
