@@ -23,26 +23,31 @@ class FileNameError(ValueError):
     pass
 
 
+HEADER_FILES = 1000  # files whose headers are read one by one
+
+
 def read_csv_by_header(spark: SparkSession, paths: str | list[str], columns: list[str], null_text: str = "",
                        glob: str | None = None) -> DataFrame:
     """CSV files as text columns ``columns``, bound by each file's header.
 
-    Spark binds all files of one read by position, so files are grouped by their
-    header line (listed with the first line of each file only) and every
-    group is read with its own order. Further columns are left out; a missing one
-    is an error that names the file. ``_file`` and ``_modified`` say where a row
-    comes from."""
-    reader = spark.read.option("wholetext", False)
+    Spark binds all files of one read by position, so the files (listed by name, not
+    read) are grouped by their header line and every group is read with its own
+    order. Further columns are left out; a missing one is an error that names the
+    file. Beyond ``HEADER_FILES`` files all must have the first one's header:
+    the scan compares them and fails on another. ``_file`` and ``_modified`` say
+    where a row comes from."""
+    listing = spark.read.format("binaryFile")
     if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    files = [r["f"] for r in reader.text(paths).select(F.col("_metadata.file_path").alias("f")).distinct().collect()]
+        listing = listing.option("pathGlobFilter", glob)
+    files = sorted(r["path"] for r in listing.load(paths).select("path").collect())
+    alike = len(files) > HEADER_FILES
     by_header: dict[tuple, list[str]] = {}
-    for f in sorted(files):
+    for f in files[:1] if alike else files:
         header = tuple(spark.read.option("header", True).option("inferSchema", False).csv(f).columns)
         missing = [c for c in columns if c not in header]
         if missing:
             raise MissingColumnError(f"{f} has no column {', '.join(missing)}")
-        by_header.setdefault(header, []).append(f)
+        by_header.setdefault(header, []).extend(files if alike else [f])
     parts = [spark.read.schema(T.StructType([T.StructField(c, T.StringType()) for c in header]))
                  .option("header", True).option("enforceSchema", False).option("nullValue", null_text).csv(group)
                  .select(*[F.col(f"`{c}`") for c in columns], F.col("_metadata.file_name").alias("_file"),

@@ -129,7 +129,7 @@ def test_counts_of_a_long_backlog(spark, place):
     assert (r.batches, r.input_rows) == (5, 5)
 
 
-def test_text_columns_are_bound_by_name(spark, place):
+def test_text_columns_are_bound_by_name(spark, place, monkeypatch):
     put(place("raw.csv"), "service_date,record_type,destination,origin,delay\n2025-06-01,InduloAllomas,To,From,3\n")
     r = R.read_raw_records(spark, place("raw.csv"), "csv").first()
     assert (r.origin, r.destination, r.delay) == ("From", "To", 3.0)
@@ -143,6 +143,9 @@ def test_text_columns_are_bound_by_name(spark, place):
     assert sorted(map(tuple, R.read_delay_csv(spark, place("in")).collect())) == want
     RF.load_delays(spark, place("in"), place("table"), place("ck"))
     assert sorted(map(tuple, stored(spark, place).collect())) == want
+    monkeypatch.setattr(R, "HEADER_FILES", 1)  # a folder of very many files: one header for all, or an error
+    with pytest.raises(Exception):
+        R.read_delay_csv(spark, place("in")).collect()
     put(place("short.csv"), "date,station_name\n2025-12-01,B\n")
     with pytest.raises(R.MissingColumnError, match="station_id"):
         R.read_delay_csv(spark, place("short.csv"))
