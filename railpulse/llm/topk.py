@@ -132,7 +132,10 @@ def top_k(vectors: DataFrame, k: int = K, every: int = QUERY_EVERY, factor: int
         return F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
 
     left = asked.select("vec_id", "row", "q", block(query_blocks).alias("qb"), each(vector_blocks).alias("vb"))
-    right = rows.select("vec_id", "row", "q", block(vector_blocks).alias("vb"), each(query_blocks).alias("qb"))
+    # Columns of their own: both sides come from one table, and a column that they share
+    # would be pruned on one side.
+    right = rows.select(F.col("vec_id").alias("c_id"), F.col("row").alias("c_row"), F.col("q").alias("c_q"),
+                        block(vector_blocks).alias("vb"), each(query_blocks).alias("qb"))
 
     def run(queries: pa.Table, block_rows: pa.Table) -> pa.Table:
         names = ["query_row", "query_id", "vec_id", "score"]
@@ -140,8 +143,8 @@ def top_k(vectors: DataFrame, k: int = K, every: int = QUERY_EVERY, factor: int
             return pa.table({c: pa.array([], pa.int64()) for c in names})
         ids = queries["vec_id"].to_numpy()
         own = queries["row"].to_numpy()
-        at, found, score = best(matrix(queries["q"], width), own, matrix(block_rows["q"], width),
-                                block_rows["row"].to_numpy(), block_rows["vec_id"].to_numpy(), k)
+        at, found, score = best(matrix(queries["q"], width), own, matrix(block_rows["c_q"], width),
+                                block_rows["c_row"].to_numpy(), block_rows["c_id"].to_numpy(), k)
         return pa.table(dict(zip(names, (own[at], ids[at], found, score))))
 
     cells = left.groupBy("qb", "vb").cogroup(right.groupBy("qb", "vb")).applyInArrow(

@@ -3,7 +3,7 @@ clashing extra columns and empty tables."""
 import pytest
 
 import corpus_pipeline
-from railpulse.llm import (ctw, licenses, mixing, quality, sentencepiece_viterbi, simhash, substring, toxicity, winnowing)
+from railpulse.llm import (ctw, licenses, mixing, quality, sentencepiece_viterbi, simhash, substring, topk, toxicity, winnowing)
 from railpulse.llm.common import DOCUMENT_COLUMNS
 
 PER_ROW = {
@@ -55,3 +55,20 @@ def test_null_and_empty_texts(tricky, some_labels):
     texts = {r["doc_id"]: r for r in substring.repeated(tricky).where("doc_id in (5, 6)").collect()}
     assert texts[6]["class_id"] == 5 and not texts[5]["passages"]
     assert (texts[6]["passages"][0]["start"], max(p["end"] for p in texts[6]["passages"])) == (0, 30_000)
+
+
+def test_top_k_without_vectors_and_with_clashing_columns(spark):
+    rows = [(i, [float(i), 1.0], i % 2, "own", 7) for i in range(0, 60, 20)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int, row string, score long")
+    got = sorted(tuple(r) for r in topk.top_k(df).collect())
+    assert [(q, n, v) for q, n, v, _ in got] == [(0, 1, 20), (0, 2, 40), (20, 1, 40), (20, 2, 0), (40, 1, 20), (40, 2, 0)]
+    assert topk.top_k(df.where("false")).count() == 0
+    assert topk.top_k(df.where("vec_id = 20")).count() == 0
+
+
+def test_extra_columns_do_not_reach_the_result(tricky):
+    assert mixing.mix_sources(tricky).columns == ["doc_id", "source", "size", "source_size", "target", "copies"]
+    by_source = {}
+    for r in mixing.mix_sources(tricky).collect():
+        by_source.setdefault(r["source"], []).append(r)
+    assert set(by_source) == {None, "a", "b", "a/b", "c"} and by_source[None][0]["size"] == 0
