@@ -12,7 +12,7 @@ an empty context and end with an end symbol.
 
 Scale. Grams and tokens are counted per task and summed by key over all training
 texts. The tree is built in parts: a part holds all contexts that share their
-last two bytes; the two levels above are sums over the parts. The model that
+last three bytes; the levels above are sums over the parts. The model that
 is shipped is bounded: contexts are kept from the most frequent on, as far as
 ``MODEL_GRAMS`` distinct grams go; what a node's dropped contexts saw shares one
 estimator, and a decision is mixed over the contexts that the tree has. Scoring is one pass over the texts. The base model's
@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, functions as F
 from railpulse.llm.common import fold, materialise, ragged_ranges, steps, texts
 
 DEPTH = 5
-TOP = 2  # bytes of context shared within a part of the tree
+TOP = 3  # latest bytes of context that a part of the tree shares
 END = 0xFF  # never a byte of UTF-8
 MODEL_GRAMS = 800_000
 FREQUENT = 1 << 17
@@ -233,6 +233,8 @@ class Tree:
 
 
 def fit_tree(train: DataFrame, depth: int = DEPTH, model_grams: int = MODEL_GRAMS) -> Tree:
+    if depth < TOP:
+        raise ValueError(f"depth is at least {TOP}")
     spark = train.sparkSession
     grams = materialise(count_grams(train, depth), "ctw_grams")
     contexts = grams.groupBy(F.shiftright("gram", 8).alias("context")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("grams"))
@@ -272,16 +274,18 @@ def fit_tree(train: DataFrame, depth: int = DEPTH, model_grams: int = MODEL_GRAM
     nodes = materialise(nodes, "ctw_nodes")
     tree = Tree([], [], [])
 
-    # Level TOP - 1 and above: at most 2**16 decisions.
-    top = nodes.where(F.col("level") == TOP - 1).groupBy("key").agg(
+    # Level TOP - 1 and above: a bounded number of short contexts.
+    got = nodes.where(F.col("level") == TOP - 1).groupBy("key").agg(
         F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("weight").alias("below")).orderBy("key").toArrow()
-    key, zeros, one, below = (top[c].to_numpy() for c in ("key", "zeros", "ones", "below"))
-    weight, log_p = weigh(zeros, one, below)
-    root_key, root = np.unique(parents(key), return_inverse=True)
-    root_zeros, root_ones = np.bincount(root, zeros, len(root_key)), np.bincount(root, one, len(root_key))
-    root_below = np.bincount(root, log_p, len(root_key))
-    tree.add(root_key, root_zeros, root_ones, weigh(root_zeros, root_ones, root_below)[0])
-    tree.add(key, zeros, one, weight)
+    key, zeros, one, below = (got[c].to_numpy() for c in ("key", "zeros", "ones", "below"))
+    above = []
+    for _ in range(TOP):
+        weight, log_p = weigh(zeros, one, below)
+        above.append((key, zeros, one, weight))
+        key, at = np.unique(parents(key), return_inverse=True)
+        zeros, one, below = (np.bincount(at, x, len(key)) for x in (zeros, one, log_p))
+    for level in reversed(above):
+        tree.add(*level)
     # In all at most 8 decisions per kept gram and level, 16 bytes each.
     w = F.least(F.greatest("weight", F.lit(LEAST_WEIGHT)), F.lit(1 - LEAST_WEIGHT))
     odds = nodes.select("level", "key", F.log((F.col("ones") + 0.5) / (F.col("zeros") + 0.5)).cast("float").alias("ones"),
