@@ -2,10 +2,12 @@
 warehouse SQL computes ("as written") and, where the documentation says
 otherwise, in the documented form.
 
-Scale notes. KPI 1 groups by region (a handful of huge groups): the default
-median is ``percentile_approx`` (bounded memory per group, partial + merge);
-the exact variant never holds a group in one task (see
-``railpulse.operators.ordering.lower_median``). KPI 2 and 3 group by station:
+Scale notes. KPI 1 groups by region (a handful of huge groups): the exact
+median never holds a group in one task (see
+``railpulse.operators.ordering.lower_median``); the approximate one is an option
+(``percentile_approx``, rank error 1 / accuracy). ``kpi_median_exact`` and
+``kpi_resilience`` without a threshold checkpoint what they read twice, so a job
+runs when the frame is built. KPI 2 and 3 group by station:
 count-distinct-by-date is rewritten as a two-level aggregate (station, date)
 then station, both with map-side combining, which is exact for any
 duplication of rows.
