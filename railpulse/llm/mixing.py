@@ -89,6 +89,9 @@ def mix_sources(docs: DataFrame, carry: tuple[str, ...] = ("doc_id",), seed: int
         F.col("s.part").alias("l_part"), F.col("s.source").alias("l_source"), "start", "source_size", "target",
         F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0).alias("expected"),
         uniform(F.concat(F.lit(f"offset {seed}:"), F.coalesce(F.col("s.source"), F.lit("\0")))).alias("offset"))
+    # A row per partition and source, stored so that its size is known when the join
+    # is planned: the rows stay where they are as long as it can be sent to them.
+    layout = materialise(layout, "mix_layout")
     place = F.col("start") + F.col("at")  # documents of the source before this one
     crossed = F.floor((place + 1) * F.col("expected") + F.col("offset")) - F.floor(place * F.col("expected") + F.col("offset"))
     return rows.join(layout, (F.col("part") == F.col("l_part")) & F.col("source").eqNullSafe(F.col("l_source"))).select(

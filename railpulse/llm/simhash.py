@@ -181,7 +181,10 @@ def keep_one_of_each(docs: DataFrame, width: int = SHINGLE, distance: int = DIST
     the smallest text mark)."""
     rows = near_duplicates(docs, width, distance)
     first = rows.groupBy("class").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")).alias("k"))
-    first = materialise(first.select(F.col("k.doc_id").alias("k_id"), F.col("k.mark").alias("k_mark")), "simhash_first")
-    kept = docs.withColumn("_mark", F.xxhash64("text"))
-    kept = kept.join(first, F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col("_mark") == F.col("k_mark")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "_mark"]).select(*docs.columns)
+    # Plain equal keys on both sides of the join and of the last step, so that texts
+    # are dealt out once.
+    keys = [F.coalesce("doc_id", F.lit(0)).alias("_id"), F.col("doc_id").isNull().alias("_none"), F.col("mark").alias("_mark")]
+    first = materialise(first.select("k.doc_id", "k.mark").select(*keys), "simhash_first")
+    kept = docs.withColumns({"_id": F.coalesce("doc_id", F.lit(0)), "_none": F.col("doc_id").isNull(), "_mark": F.xxhash64("text")})
+    names = ["_id", "_none", "_mark"]
+    return kept.join(first, names, "left_semi").dropDuplicates(names).select(*docs.columns)
