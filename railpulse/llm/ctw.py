@@ -12,11 +12,12 @@ an empty context and end with an end symbol.
 
 Scale. Grams and tokens are counted per task and summed by key over all training
 texts. The tree is built in parts: a part holds all contexts that share their
-last three bytes; the levels above are sums over the parts. The model that
-is shipped is bounded: contexts are kept from the most frequent on, as far as
-``MODEL_GRAMS`` distinct grams go; what a node's dropped contexts saw shares one
-estimator, and a decision is mixed over the contexts that the tree has. Scoring is one pass over the texts. The base model's
-counts of the ``FREQUENT`` most frequent tokens are shipped, all others are
+last three bytes; the levels above are sums over the parts. No context is dropped
+at any size: the grams of all texts, held out or not, are dealt to the parts, and
+each part gives the probabilities of its own grams from its whole nodes and the
+few levels above. The probabilities of the ``MODEL_GRAMS`` most frequent grams
+are shipped, all others are joined by gram. Scoring is one pass over the texts. The base
+model's counts of the ``FREQUENT`` most frequent tokens are shipped, all others are
 joined by token.
 
 Defined cases: a null text is empty and consists of its end; without training
@@ -41,12 +42,11 @@ from railpulse.llm.common import fold, materialise, ragged_ranges, steps, texts
 DEPTH = 5
 TOP = 3  # latest bytes of context that a part of the tree shares
 END = 0xFF  # never a byte of UTF-8
-MODEL_GRAMS = 800_000
+MODEL_GRAMS = 800_000  # the head that is shipped; the rest is joined
 FREQUENT = 1 << 17
 FREQUENT_BYTES = 64
 FOLDS = 10
 HELD = 1 << 21  # entries that a counting task holds before it hands them on
-CACHE_BITS = 21
 LEAST_WEIGHT = 1e-6
 SMOOTHING = 0.1
 
@@ -77,23 +77,31 @@ def merge(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 def count_grams(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """(gram, n, total): occurrences in the rows not ``held_out`` and in all of them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        held = {h: (np.zeros(0, np.int64), np.zeros(0, np.int64)) for h in (False, True)}
 
-        def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], ["gram", "n"])
+        def out(h: bool) -> pa.RecordBatch:
+            keys, counts = held[h]
+            held[h] = keys[:0], counts[:0]
+            return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts * (not h)), pa.array(counts)], ["gram", "n", "total"])
 
         for part in steps(batches, "text"):
-            grams = np.sort(grams_of([t.encode().lower() for t in texts(part.column("text"))], depth)[0])
-            first = np.flatnonzero(np.concatenate(([True], grams[1:] != grams[:-1])))
-            keys, counts = merge(np.concatenate((keys, grams[first])),
-                                 np.concatenate((counts, np.diff(np.append(first, len(grams))))))
-            if len(keys) > HELD:
-                yield out()
-                keys, counts = keys[:0], counts[:0]
-        yield out()
+            which = part.column("held_out").to_pylist()
+            lowered = [t.encode().lower() for t in texts(part.column("text"))]
+            for h in held:
+                grams = np.sort(grams_of([t for t, w in zip(lowered, which) if w == h], depth)[0])
+                if not len(grams):
+                    continue
+                first = np.flatnonzero(np.concatenate(([True], grams[1:] != grams[:-1])))
+                held[h] = merge(np.concatenate((held[h][0], grams[first])),
+                                np.concatenate((held[h][1], np.diff(np.append(first, len(grams))))))
+                if len(held[h][0]) > HELD // 2:
+                    yield out(h)
+        yield from (out(h) for h in held)
 
-    return docs.select("text").mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    counted = docs.select("text", "held_out").mapInArrow(run, "gram long, n long, total long")
+    return counted.groupBy("gram").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
 
 
 def count_tokens(docs: DataFrame) -> DataFrame:
@@ -156,58 +164,37 @@ def parents(key: np.ndarray) -> np.ndarray:
     return ((key >> 16) << 8) | (key & 255)
 
 
-def below_of(parent: np.ndarray, zeros: np.ndarray, ones: np.ndarray, child: tuple[np.ndarray, ...]) -> np.ndarray:
-    """Per parent the summed log probability of its children (key, zeros, ones,
-    log_p); decisions whose longer context is not kept share one estimator."""
-    key, child_zeros, child_ones, log_p = child
-    at = np.searchsorted(parent, parents(key))
-    sums = [np.bincount(at, weights=x, minlength=len(parent)) for x in (child_zeros, child_ones, log_p)]
-    return sums[2] + np.where(zeros + ones > sums[0] + sums[1], log_kt(zeros - sums[0], ones - sums[1]), 0.0)
-
-
-def part_nodes(grams: np.ndarray, n: np.ndarray, least: int, depth: int = DEPTH) -> dict[str, np.ndarray]:
-    """Nodes of one or more whole parts of the tree, from sorted grams: level,
-    key, zeros, ones, weight; level TOP - 1 has, for the sum over the parts,
-    the counts and in ``weight`` the log probability of the children."""
-    rows: dict[str, list] = {c: [] for c in ("level", "key", "zeros", "ones", "weight")}
-    child = (np.zeros(0, np.int64), np.zeros(0), np.zeros(0), np.zeros(0))
+def part_nodes(grams: np.ndarray, n: np.ndarray, depth: int = DEPTH) -> list[tuple[np.ndarray, ...]]:
+    """Nodes of one or more whole parts of the tree, from sorted grams: per level
+    from ``depth`` up to TOP - 1 (key, zeros, ones, weight); level TOP - 1 has, for
+    the sum over the parts, the log probability of the children as its weight."""
+    rows, below_key, log_p = [], None, None
     for level in range(depth, TOP - 2, -1):
-        context, byte = grams >> (8 * (depth - level + 1)), grams & 255
-        if level >= TOP:
-            new = np.concatenate(([True], context[1:] != context[:-1]))
-            total = np.add.reduceat(n, np.flatnonzero(new))
-            kept = total[np.cumsum(new) - 1] >= least
-            own_key, zeros, ones = decisions(context[kept], byte[kept], n[kept])
-        else:
-            own_key, zeros, ones = decisions(context, byte, n)
-        if not len(own_key):
-            continue
-        below = below_of(own_key, zeros, ones, child)
+        key, zeros, ones = decisions(grams >> (8 * (depth - level + 1)), grams & 255, n)
+        below = None if below_key is None else np.bincount(np.searchsorted(key, parents(below_key)), weights=log_p, minlength=len(key))
         if level == depth:
-            weight, log_p = np.ones(len(own_key)), log_kt(zeros, ones)
+            weight, log_p = np.ones(len(key)), log_kt(zeros, ones)
         elif level >= TOP:
             weight, log_p = weigh(zeros, ones, below)
         else:
             weight = below
-        child = (own_key, zeros, ones, log_p if level >= TOP else below)
-        for c, v in zip(rows, (np.full(len(own_key), level), own_key, zeros, ones, weight)):
-            rows[c].append(v)
-    return {c: np.concatenate(v) for c, v in rows.items()}
+        below_key = key
+        rows.append((key, zeros, ones, weight))
+    return rows
 
 
 @dataclass
 class Tree:
-    """By level: sorted node keys, and in half precision the log-odds of a one
-    and of the node's own weight."""
+    """By level: sorted node keys, the log-odds of a one and of the node's own weight."""
     keys: list[np.ndarray]
     ones: list[np.ndarray]
     weights: list[np.ndarray]
 
     def add(self, key: np.ndarray, zeros: np.ndarray, ones: np.ndarray, weight: np.ndarray) -> None:
         self.keys.append(key)
-        self.ones.append(np.log((ones + 0.5) / (zeros + 0.5)).astype(np.float16))
+        self.ones.append(np.log((ones + 0.5) / (zeros + 0.5)))
         w = np.clip(weight, LEAST_WEIGHT, 1 - LEAST_WEIGHT)
-        self.weights.append(np.log(w / (1 - w)).astype(np.float16))
+        self.weights.append(np.log(w / (1 - w)))
 
     def log10_probability(self, grams: np.ndarray) -> np.ndarray:
         """Of the byte of each gram after its context; sorted grams are faster."""
@@ -223,8 +210,8 @@ class Tree:
                     continue
                 key = ((context >> (8 * (depth - level))) << 8) | node
                 at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-                own = 1 / (1 + np.exp(np.where(one, -1.0, 1.0) * self.ones[level][at].astype(np.float32)))
-                w = np.where(longer, 1 / (1 + np.exp(-self.weights[level][at].astype(np.float32))), 1.0)
+                own = 1 / (1 + np.exp(np.where(one, -1.0, 1.0) * self.ones[level][at]))
+                w = np.where(longer, 1 / (1 + np.exp(-self.weights[level][at])), 1.0)
                 found = keys[at] == key
                 p = np.where(found, w * own + (1 - w) * p, p)
                 longer |= found
@@ -232,51 +219,37 @@ class Tree:
         return out
 
 
-def fit_tree(train: DataFrame, depth: int = DEPTH, model_grams: int = MODEL_GRAMS) -> Tree:
-    if depth < TOP:
-        raise ValueError(f"depth is at least {TOP}")
-    spark = train.sparkSession
-    grams = materialise(count_grams(train, depth), "ctw_grams")
-    contexts = grams.groupBy(F.shiftright("gram", 8).alias("context")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("grams"))
-    size = F.when(F.col("n") <= 1000, F.col("n")).otherwise(F.pow(2.0, F.floor(F.log2("n"))).cast("long"))
-    spread = contexts.groupBy(size.alias("n")).agg(F.sum("grams").alias("grams")).orderBy(F.desc("n")).collect()  # ~1,060 rows at most
-    least, total = 1, 0
-    for r in spread:
-        total += r["grams"]
-        if total > model_grams:
-            least = r["n"] + 1
-            break
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    part = F.shiftright("gram", 8 * (depth - TOP + 1))
+def in_parts(grams: DataFrame, columns: list[str], run, schema: str, depth: int = DEPTH) -> DataFrame:
+    """``run`` on sorted arrays of whole parts of the tree, a bounded number of
+    grams at a time unless a single part has more."""
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.zeros(0, np.int64) for _ in columns]
+        for b in batches:
+            held = [np.concatenate((h, b.column(c).to_numpy())) for h, c in zip(held, columns)]
+            parts = held[0] >> (8 * (depth - TOP + 1))
+            cut = int(np.searchsorted(parts, parts[-1])) if len(parts) else 0  # the last part may go on
+            if cut > HELD // 8:
+                yield run(*[h[:cut] for h in held])
+                held = [h[cut:] for h in held]
+        if len(held[0]):
+            yield run(*held)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        g, c = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    n = int(grams.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (grams.select(*columns).repartition(n, F.shiftright("gram", 8 * (depth - TOP + 1))).sortWithinPartitions("gram")
+            .mapInArrow(whole, schema))
 
-        def out(grams_, counts) -> pa.RecordBatch:
-            rows = part_nodes(grams_, counts, least, depth)
-            return pa.RecordBatch.from_arrays([pa.array(rows["level"], pa.int64()), pa.array(rows["key"], pa.int64()),
-                                               *[pa.array(rows[x], pa.float64()) for x in ("zeros", "ones", "weight")]],
-                                              ["level", "key", "zeros", "ones", "weight"])
 
-        for b in batches:
-            g = np.concatenate((g, b.column("gram").to_numpy()))
-            c = np.concatenate((c, b.column("n").to_numpy()))
-            parts = g >> (8 * (depth - TOP + 1))
-            cut = int(np.searchsorted(parts, parts[-1])) if len(g) else 0  # the last part may go on
-            if cut > HELD // 8:
-                yield out(g[:cut], c[:cut])
-                g, c = g[cut:], c[cut:]
-        if len(g):
-            yield out(g, c)
-
-    nodes = (grams.repartition(n, part).sortWithinPartitions("gram")
-             .mapInArrow(run, "level long, key long, zeros double, ones double, weight double"))
-    nodes = materialise(nodes, "ctw_nodes")
-    tree = Tree([], [], [])
+def top_levels(grams: DataFrame, depth: int = DEPTH) -> Tree:
+    """Levels 0 to TOP - 1: a bounded number of short contexts."""
+    if depth < TOP:
+        raise ValueError(f"depth is at least {TOP}")
 
-    # Level TOP - 1 and above: a bounded number of short contexts.
-    got = nodes.where(F.col("level") == TOP - 1).groupBy("key").agg(
-        F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("weight").alias("below")).orderBy("key").toArrow()
+    def run(gram: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in part_nodes(gram, n, depth)[-1]], ["key", "zeros", "ones", "weight"])
+
+    nodes = in_parts(grams.where("n > 0"), ["gram", "n"], run, "key long, zeros double, ones double, weight double", depth)
+    got = nodes.groupBy("key").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("weight").alias("below")) \
+        .orderBy("key").toArrow()
     key, zeros, one, below = (got[c].to_numpy() for c in ("key", "zeros", "ones", "below"))
     above = []
     for _ in range(TOP):
@@ -284,45 +257,59 @@ def fit_tree(train: DataFrame, depth: int = DEPTH, model_grams: int = MODEL_GRAM
         above.append((key, zeros, one, weight))
         key, at = np.unique(parents(key), return_inverse=True)
         zeros, one, below = (np.bincount(at, x, len(key)) for x in (zeros, one, log_p))
+    tree = Tree([], [], [])
     for level in reversed(above):
         tree.add(*level)
-    # In all at most 8 decisions per kept gram and level, 16 bytes each.
-    w = F.least(F.greatest("weight", F.lit(LEAST_WEIGHT)), F.lit(1 - LEAST_WEIGHT))
-    odds = nodes.select("level", "key", F.log((F.col("ones") + 0.5) / (F.col("zeros") + 0.5)).cast("float").alias("ones"),
-                        F.log(w / (1 - w)).cast("float").alias("weight"))
-    for level in range(TOP, depth + 1):
-        got = odds.where(F.col("level") == level).select("key", "ones", "weight").toArrow()
-        key, one, own = (got[c].to_numpy() for c in ("key", "ones", "weight"))
-        del got
-        at = np.argsort(key, kind="stable")
-        tree.keys.append(key[at])
-        tree.ones.append(one[at].astype(np.float16))
-        tree.weights.append(own[at].astype(np.float16))
     return tree
 
 
-class Scorer:
-    """Scores texts, remembering the probabilities of grams in a table of fixed
-    size; what a slot does not hold is computed."""
+def with_levels(top: Tree, gram: np.ndarray, n: np.ndarray, depth: int = DEPTH) -> Tree:
+    """The tree of ``top`` and of the nodes of the parts that the grams make up."""
+    tree = Tree(list(top.keys), list(top.ones), list(top.weights))
+    seen = n > 0
+    if seen.any():
+        for level in reversed(part_nodes(gram[seen], n[seen], depth)[:-1]):
+            tree.add(*level)
+    else:
+        for _ in range(TOP, depth + 1):
+            tree.add(np.zeros(0, np.int64), *[np.zeros(0)] * 3)
+    return tree
+
+
+def gram_scores(grams: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """(gram, total, value): log10 probability of every gram's byte after its context."""
+    top = grams.sparkSession.sparkContext.broadcast(top_levels(grams, depth))
+
+    def run(gram: np.ndarray, n: np.ndarray, total: np.ndarray) -> pa.RecordBatch:
+        tree = with_levels(top.value, gram, n, depth)
+        value = np.concatenate([tree.log10_probability(gram[i:i + HELD // 8]) for i in range(0, len(gram), HELD // 8)])
+        return pa.RecordBatch.from_arrays([pa.array(gram), pa.array(total), pa.array(value)], ["gram", "total", "value"])
+
+    return in_parts(grams, ["gram", "n", "total"], run, "gram long, total long, value double", depth)
+
+
+def fit_tree(train: DataFrame, depth: int = DEPTH) -> Tree:
+    """The whole tree in one object, for training texts of a size that allows it;
+    ``gram_scores`` has no such bound."""
+    grams = materialise(count_grams(train.withColumn("held_out", F.lit(False)), depth), "ctw_grams")
+    got = grams.orderBy("gram").toArrow()
+    return with_levels(top_levels(grams, depth), got["gram"].to_numpy(), got["n"].to_numpy(), depth)
 
-    def __init__(self, tree: Tree):
-        self.tree = tree
-        self.depth = len(tree.keys) - 1
-        self.keys = np.full(1 << CACHE_BITS, -1, dtype=np.int64)
-        self.values = np.zeros(1 << CACHE_BITS)
 
-    def score(self, batch: list[bytes]) -> np.ndarray:
-        grams, counts = grams_of(batch, self.depth)
-        slot = (grams.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - CACHE_BITS)
-        p = self.values[slot]
-        miss = np.flatnonzero(self.keys[slot] != grams)
-        if len(miss):
-            new, at = np.unique(grams[miss], return_inverse=True)
-            value = self.tree.log10_probability(new)
-            p[miss] = value[at]
-            into = (new.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - CACHE_BITS)
-            self.keys[into], self.values[into] = new, value  # of several for a slot, the last of both
-        return np.add.reduceat(p, np.cumsum(counts) - counts)
+def head_scores(batch: list[bytes], head: np.ndarray, values: np.ndarray, depth: int = DEPTH) -> tuple[np.ndarray, pa.Array]:
+    """Per text the summed values of the shipped grams, and its other grams
+    (gram, n)."""
+    grams, counts = grams_of(batch, depth)
+    new, at = np.unique(grams, return_inverse=True)
+    place = np.minimum(np.searchsorted(head, new), max(0, len(head) - 1))
+    found = head[place] == new if len(head) else np.zeros(len(new), dtype=bool)
+    value = np.where(found, values[place], 0.0) if len(head) else np.zeros(len(new))
+    owner = np.repeat(np.arange(len(counts)), counts)
+    rest = np.flatnonzero(~found[at])
+    pairs, times = np.unique(owner[rest] * len(new) + at[rest], return_counts=True)
+    ends = np.concatenate(([0], np.cumsum(np.bincount(pairs // len(new), minlength=len(counts)))))
+    others = pa.StructArray.from_arrays([pa.array(new[pairs % len(new)], pa.int64()), pa.array(times.astype(np.int64))], ["gram", "n"])
+    return np.add.reduceat(value[at], np.cumsum(counts) - counts), pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), others)
 
 
 def score_documents(docs: DataFrame, depth: int = DEPTH, folds: int = FOLDS, model_grams: int = MODEL_GRAMS,
@@ -333,7 +320,11 @@ def score_documents(docs: DataFrame, depth: int = DEPTH, folds: int = FOLDS, mod
     spark = docs.sparkSession
     rows = docs.select("doc_id", "text", (fold("doc_id", folds) == 0).alias("held_out"))
     train = rows.where(~F.col("held_out"))
-    tree = spark.sparkContext.broadcast(fit_tree(train, depth, model_grams))
+    grams = materialise(count_grams(rows, depth), "ctw_grams")
+    values = materialise(gram_scores(grams, depth), "ctw_values")
+    head = values.orderBy(F.desc("total"), "gram").limit(model_grams).select("gram", "value").toArrow()
+    by_gram = np.argsort(head["gram"].to_numpy(), kind="stable")
+    head = spark.sparkContext.broadcast((head["gram"].to_numpy()[by_gram], head["value"].to_numpy()[by_gram]))
     tokens = materialise(count_tokens(train), "ctw_tokens")
     ends = train.count()
     words, distinct = tokens.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
@@ -345,13 +336,14 @@ def score_documents(docs: DataFrame, depth: int = DEPTH, folds: int = FOLDS, mod
     end_score = math.log10(ends + SMOOTHING) - denominator
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer, known = Scorer(tree.value), shipped.value
+        (head_grams, head_values), known = head.value, shipped.value
         schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()),
                             ("n_bytes", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()),
-                            ("rare", pa.list_(pa.struct([("token", pa.string()), ("n", pa.int64())])))])
+                            ("rare", pa.list_(pa.struct([("token", pa.string()), ("n", pa.int64())]))),
+                            ("rare_grams", pa.list_(pa.struct([("gram", pa.int64()), ("n", pa.int64())])))])
         for part in steps(batches, "text"):
             lowered = [t.encode().lower() for t in texts(part.column("text"))]
-            score = scorer.score(lowered)
+            score, rare_grams = head_scores(lowered, head_grams, head_values, depth)
             n, n_known, base, rare = [], [], [], []
             for t in lowered:
                 own = t.split()
@@ -365,18 +357,21 @@ def score_documents(docs: DataFrame, depth: int = DEPTH, folds: int = FOLDS, mod
             yield pa.RecordBatch.from_arrays(
                 [part.column("row"), part.column("doc_id"), part.column("held_out"), pa.array(n, pa.int64()),
                  pa.array([len(t) for t in lowered], pa.int64()), pa.array(n_known, pa.int64()), pa.array(base, pa.float64()),
-                 pa.array(score, pa.float64()), pa.array(rare, schema.field("rare").type)], schema=schema)
+                 pa.array(score, pa.float64()), pa.array(rare, schema.field("rare").type), rare_grams], schema=schema)
 
     scored = rows.withColumn("row", F.monotonically_increasing_id()).mapInArrow(
         run, "row long, doc_id long, held_out boolean, n_tokens long, n_bytes long, n_known long, base_score double, "
-             "score double, rare array<struct<token:string,n:long>>")
+             "score double, rare array<struct<token:string,n:long>>, rare_grams array<struct<gram:long,n:long>>")
     scored = materialise(scored, "ctw_scored")
     rare = scored.select("row", F.explode("rare").alias("r")).select("row", "r.token", F.col("r.n").alias("times"))
     rare = (rare.join(tokens, "token", "left")
             .select("row", F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0).alias("known"),
                     (F.col("times") * (F.log10(F.coalesce("n", F.lit(0)) + SMOOTHING) - denominator)).alias("base"))
             .groupBy("row").agg(F.sum("known").alias("known"), F.sum("base").alias("base")))
-    return scored.drop("rare").join(rare, "row", "left").select(
+    rare_grams = scored.select("row", F.explode("rare_grams").alias("r")).select("row", "r.gram", F.col("r.n").alias("times"))
+    rare_grams = rare_grams.join(values.select("gram", "value"), "gram").groupBy("row").agg(F.sum(F.col("times") * F.col("value")).alias("tail"))
+    score = F.col("score") + F.coalesce("tail", F.lit(0.0))
+    return scored.drop("rare", "rare_grams").join(rare, "row", "left").join(rare_grams, "row", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
         F.lit(train_tokens).cast("long").alias("train_tokens"), (F.col("base_score") + F.coalesce("base", F.lit(0.0))).alias("base_score"),
-        "score", (-F.col("score") * math.log2(10) / (F.col("n_bytes") + 1)).alias("bits_per_byte"))
+        score.alias("score"), (-score * math.log2(10) / (F.col("n_bytes") + 1)).alias("bits_per_byte"))
