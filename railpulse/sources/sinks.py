@@ -64,18 +64,25 @@ def read_stored(spark: SparkSession, table_path: str) -> DataFrame | None:
         raise
 
 
-def check_whole_days(batch: DataFrame, table_path: str, spark: SparkSession,
-                     date_col: str = "date", key_col: str = "station_name") -> None:
-    """Refuse a batch that would lose a stored row: a per-date overwrite must
-    bring every key (``key_col``) that its days hold already."""
+def lost_keys(batch: DataFrame, table_path: str, spark: SparkSession,
+              date_col: str = "date", key_col: str = "station_name") -> DataFrame | None:
+    """Stored keys that the batch lacks on its own days; None before the first load."""
     stored = read_stored(spark, table_path)
     if stored is None:
-        return
+        return None
     # Only the batch's days are read back: the semi join lets dynamic
     # partition pruning skip every other date partition of the stored table.
     keys = batch.select(date_col, key_col)
     old = stored.join(keys.select(date_col).distinct(), date_col, "left_semi")
-    lost = old.join(keys, [date_col, key_col], "left_anti").select(date_col, key_col).first()
+    return old.join(keys, [date_col, key_col], "left_anti").select(date_col, key_col)
+
+
+def check_whole_days(batch: DataFrame, table_path: str, spark: SparkSession,
+                     date_col: str = "date", key_col: str = "station_name") -> None:
+    """Refuse a batch that would lose a stored row: a per-date overwrite must
+    bring every key (``key_col``) that its days hold already."""
+    missing = lost_keys(batch, table_path, spark, date_col, key_col)
+    lost = None if missing is None else missing.first()
     if lost is not None:
         raise PartialDayError(f"the batch lacks {lost[1]} on {lost[0]}, which {table_path} holds")
 

@@ -6,9 +6,10 @@ checkpoint is read once, then the query stops. A second run over the same
 folder reads nothing. A micro-batch reads its files by header name and
 keeps, per key, the row of the newest file, so a week that lies there twice counts
 once. Rows that cannot be stored go to ``<table>_rejects`` with their reason and
-file. A file that cannot be loaded (empty, malformed, badly named, or lacking
-stored rows of its days) is recorded, the batch is committed, so later files still
-load, and the load fails once the query has ended. A batch retried after a failure
+file, and so do days that lack stored rows; the other days of their batch are stored.
+A file that cannot be loaded (empty, malformed, badly named) or such a day is
+recorded, the batch is committed, so later files still load, and the load fails once
+the query has ended. A batch retried after a failure
 writes the same rows again.
 """
 
@@ -27,7 +28,7 @@ from railpulse.operators.unified import unified_all
 from railpulse.operators.weather import enforce_weather_schema, flatten_responses, with_flags
 from railpulse.session import drop_scratch, scratch_path
 from railpulse.sources.readers import CORRUPT, newest_week_file, read_delay_text, read_weather_responses, week_bounds
-from railpulse.sources.sinks import PartialDayError, append_days, check_whole_days, merge_days, newest_per_key, read_table, write_result
+from railpulse.sources.sinks import append_days, lost_keys, merge_days, newest_per_key, read_table, write_result
 
 # Files of one micro-batch, so that a large backlog runs in bounded steps.
 MAX_FILES = 1000
@@ -115,13 +116,17 @@ def start_delay_load(spark: SparkSession, landing: str, table_path: str, checkpo
             result.input_rows += total
             result.rejected += rejected
             result.superseded += total - rejected - kept
-            try:
-                check_whole_days(newest, table_path, spark)
-            except PartialDayError as e:
-                result.issues.append(str(e))
-                result.rejected += _quarantine(newest.withColumn("reason", F.lit("partial day")), table_path, "partial", epoch_id)
-            else:
-                append_days(newest, table_path, DELAYS_ALL)
+            lost = lost_keys(newest, table_path, spark)
+            if lost is not None:
+                lost = lost.groupBy("date").agg(F.min("station_name").alias("name")).orderBy("date").collect()  # a row per day
+            for r in lost or []:
+                result.issues.append(f"the batch lacks {r['name']} on {r['date']}, which {table_path} holds")
+            whole = newest
+            if lost:
+                partial = F.col("date").isin([r["date"] for r in lost])
+                result.rejected += _quarantine(newest.where(partial).withColumn("reason", F.lit("partial day")), table_path, "partial", epoch_id)
+                whole = newest.where(~partial)
+            append_days(whole, table_path, DELAYS_ALL)
             newest.unpersist()
         finally:
             text.unpersist()
