@@ -3,11 +3,14 @@ whole tables, and the oracle SQL where DuckDB can express the result."""
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from railpulse.llm import ctw, licenses, mixing, quality, sentencepiece_viterbi, simhash, substring, topk, toxicity, winnowing
+from railpulse.llm import byte_bpe, ctw, licenses, mixing, quality, sentencepiece_viterbi, simhash, substring, topk, toxicity, winnowing
 from railpulse.llm.common import fold, table
 
 
@@ -60,6 +63,21 @@ def op10_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
                        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
 
 
+@F.arrow_udf(T.StringType())
+def _ids_sha256(tokens: pa.Array) -> pa.Array:
+    """Of the ids as little-endian unsigned 32-bit integers."""
+    ids = tokens.flatten().to_numpy().astype("<u4")
+    ends = np.cumsum(byte_bpe.list_sizes(tokens))
+    return pa.array([hashlib.sha256(ids[a:b].tobytes()).hexdigest() for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())], pa.string())
+
+
+def op12_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    vocabulary = byte_bpe.load()
+    back = byte_bpe.decode_documents(byte_bpe.encode_documents(table(spark, sf, "documents"), vocabulary), vocabulary)
+    return back.select("doc_id", F.size("tokens").cast("long").alias("n_tokens"), _ids_sha256("tokens").alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ctw": op1_ctw,
     "op2_simhash": op2_simhash,
@@ -71,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_licenses": op8_licenses,
     "op9_quality": op9_quality,
     "op10_sentencepiece": op10_sentencepiece,
+    "op12_byte_bpe": op12_byte_bpe,
 }
 
 ORACLE: dict[str, str] = {
