@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from railpulse.llm import byte_bpe, ctw, licenses, mixing, quality, sentencepiece_viterbi, simhash, substring, topk, toxicity, winnowing
+from railpulse.llm import byte_bpe, collocations, ctw, lexical, licenses, mixing, quality, sentencepiece_viterbi, simhash, substring, topk, toxicity, winnowing
 from railpulse.llm.common import fold, table
 
 
@@ -78,6 +78,14 @@ def op12_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op11_lexical(spark: SparkSession, sf: str) -> DataFrame:
+    return lexical.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+def op13_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf, "documents")).drop("first_doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ctw": op1_ctw,
     "op2_simhash": op2_simhash,
@@ -89,7 +97,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_licenses": op8_licenses,
     "op9_quality": op9_quality,
     "op10_sentencepiece": op10_sentencepiece,
+    "op11_lexical": op11_lexical,
     "op12_byte_bpe": op12_byte_bpe,
+    "op13_collocations": op13_collocations,
 }
 
 ORACLE: dict[str, str] = {
@@ -125,5 +135,57 @@ k AS (
          row_number() OVER (PARTITION BY d.source ORDER BY size, md5('7:' || coalesce(doc_id::VARCHAR, '')), text) AS i
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size, source_size, target, (size * (floor(i * e + u) - floor((i - 1) * e + u)))::BIGINT AS taken FROM k
+""",
+    "op11_lexical": """
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS ts FROM documents WHERE text IS NOT NULL),
+i AS (
+  SELECT row_number() OVER () AS item, item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS ts FROM benchmark WHERE text IS NOT NULL),
+l AS (SELECT row_number() OVER () AS row, doc_id, ts, len(ts) AS n FROM d WHERE len(ts) > 0),
+s AS (SELECT count(*)::BIGINT AS n_docs, sum(n)::BIGINT AS total FROM l),
+v AS MATERIALIZED (SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(ts) AS term FROM l) GROUP BY ALL),
+q AS MATERIALIZED (SELECT item, item_id, term, count(*) AS q FROM (SELECT item, item_id, unnest(ts) AS term FROM i) GROUP BY ALL),
+w AS (SELECT term, floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM v, s GROUP BY term, n_docs),
+m AS (SELECT row, doc_id, 100 - 25 + (25 * n * n_docs) // total AS m FROM l, s),
+r AS (
+  SELECT item, item_id, doc_id, sum(q * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+  FROM q JOIN v USING (term) JOIN w USING (term) JOIN m USING (row) GROUP BY item, item_id, doc_id, row),
+k AS (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS n FROM r WHERE score > 0)
+SELECT item_id, n::INTEGER AS rank, doc_id, score FROM k WHERE n <= 20
+""",
+    "op13_collocations": """
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+p AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM d),
+w AS MATERIALIZED (SELECT row_number() OVER () AS id, lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws FROM p),
+x AS MATERIALIZED (SELECT id, lang, generate_subscripts(ws, 1) AS i, unnest(ws) AS word FROM w),
+g AS MATERIALIZED (
+  SELECT lang, word AS w1, lead(word) OVER o AS w2, lead(word, 2) OVER o AS w3 FROM x WINDOW o AS (PARTITION BY id ORDER BY i)),
+f1 AS MATERIALIZED (SELECT lang, w1, count(*) AS f FROM g GROUP BY ALL),
+f2 AS MATERIALIZED (SELECT lang, w1, w2, count(*) AS f FROM g WHERE w2 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+f3 AS MATERIALIZED (SELECT lang, w1, w2, w3, count(*) AS f FROM g WHERE w3 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+k AS (
+  SELECT lang, w1 || ' ' || w2 AS phrase, f2.f AS a, 1 AS k, x.f AS l, y.f AS r
+  FROM f2 JOIN f1 x USING (lang, w1) JOIN (SELECT lang, w1 AS w2, f FROM f1) y USING (lang, w2)
+  UNION ALL
+  SELECT lang, concat_ws(' ', w1, w2, w3), f3.f, 1, x.f, y.f
+  FROM f3 JOIN f1 x USING (lang, w1) JOIN (SELECT lang, w1 AS w2, w2 AS w3, f FROM f2) y USING (lang, w2, w3)
+  UNION ALL
+  SELECT lang, concat_ws(' ', w1, w2, w3), f3.f, 2, x.f, y.f
+  FROM f3 JOIN f2 x USING (lang, w1, w2) JOIN (SELECT lang, w1 AS w3, f FROM f1) y USING (lang, w3)),
+s AS (
+  SELECT *, ((1000000::HUGEINT * a * a) // (l::HUGEINT * r))::BIGINT AS score FROM k
+  QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+o AS (
+  SELECT lang, phrase, max(f) AS f FROM (
+    SELECT lang, w1 || ' ' || w2 AS phrase, f FROM f3 UNION ALL SELECT lang, w2 || ' ' || w3, f FROM f3) GROUP BY ALL),
+q AS (
+  SELECT s.*, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, s.phrase) AS rank
+  FROM s LEFT JOIN o ON o.lang = s.lang AND o.phrase = s.phrase WHERE o.f IS NULL OR 100 * o.f < 50 * s.a),
+t AS (SELECT lang, sum(f)::BIGINT AS n FROM f1 GROUP BY lang)
+SELECT q.lang, rank, phrase, a, l, r, n, score FROM q JOIN t USING (lang) WHERE rank <= 2000
 """,
 }
