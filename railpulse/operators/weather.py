@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from railpulse.functions.weather import high_precip, high_temp, high_wind
 
@@ -18,6 +18,15 @@ def regions_from_config(config: DataFrame) -> DataFrame:
                           "r.region_name", "r.lat", "r.lon"))
 
 
+ARRAYS = ("time", "temperature_2m_mean", "wind_gusts_10m_max", "precipitation_sum")
+
+
+def unequal_arrays() -> Column:
+    """Whether a response's daily arrays differ in length (a missing one has none)."""
+    sizes = [F.coalesce(F.size(f"daily.{a}"), F.lit(-1)) for a in ARRAYS]
+    return F.greatest(*sizes) != F.least(*sizes)
+
+
 def flatten_responses(responses: DataFrame, region_col: str = "region_id", extra: tuple[str, ...] = ()) -> DataFrame:
     """One response document per region with parallel daily arrays -> one row
     per (region, day). Arrays of unequal length pad with NULL."""
@@ -27,6 +36,7 @@ def flatten_responses(responses: DataFrame, region_col: str = "region_id", extra
         F.col("daily.wind_gusts_10m_max").alias("wind_gust_max_kmh"),
         F.col("daily.precipitation_sum").alias("precipitation_sum_mm"),
     )
+    z = F.when(unequal_arrays(), F.raise_error(F.lit("daily arrays of unequal length"))).otherwise(z)
     return responses.select(region_col, *extra, F.inline_outer(z)).where(F.col("date").isNotNull())
 
 

@@ -4,6 +4,8 @@ an explicit projection; nothing is inferred from the data."""
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from railpulse.constants import (
@@ -23,36 +25,44 @@ class FileNameError(ValueError):
     pass
 
 
-HEADER_FILES = 1000  # files whose headers are read one by one
+def header_lines(spark: SparkSession, paths: str | list[str], glob: str | None = None) -> DataFrame:
+    """(path, header): the first line of every file that has one, found in one job. Only
+    lines are split, nothing is parsed; a file's lines keep their order within its
+    first block."""
+    reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
+    lines = reader.text(paths).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_start"), "value",
+        F.monotonically_increasing_id().alias("_at"))
+    return lines.where((F.col("_start") == 0) & (F.trim("value") != "")).groupBy("path").agg(F.min_by("value", "_at").alias("header"))
 
 
 def read_csv_by_header(spark: SparkSession, paths: str | list[str], columns: list[str], null_text: str = "",
-                       glob: str | None = None) -> DataFrame:
+                       glob: str | None = None, unfit: dict[str, str] | None = None) -> DataFrame:
     """CSV files as text columns ``columns``, bound by each file's header.
 
-    Spark binds all files of one read by position, so the files (listed by name, not
-    read) are grouped by their header line and every group is read with its own
-    order. Further columns are left out; a missing one is an error that names the
-    file. Beyond ``HEADER_FILES`` files all must have the first one's header:
-    the scan compares them and fails on another. ``_file`` and ``_modified`` say
-    where a row comes from."""
-    listing = spark.read.format("binaryFile")
-    if glob:
-        listing = listing.option("pathGlobFilter", glob)
-    files = sorted(r["path"] for r in listing.load(paths).select("path").collect())
-    alike = len(files) > HEADER_FILES
-    by_header: dict[tuple, list[str]] = {}
-    for f in files[:1] if alike else files:
-        header = tuple(spark.read.option("header", True).option("inferSchema", False).csv(f).columns)
+    Spark binds all files of one read by position, so the files, however many, are
+    grouped by their header line and every group is read with its own order. Further
+    columns are left out; a missing one is an error that names the file, or an entry
+    of ``unfit`` (file -> reason) if that is given. Files without a line have no rows.
+    ``_file`` and ``_modified`` say where a row comes from."""
+    headers = header_lines(spark, paths, glob)
+    orders: dict[tuple, list[str]] = {}
+    # A row per distinct header line; the names of its files are what the driver hands
+    # to the reader anyway.
+    for r in headers.groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("files")).collect():
+        header = tuple(next(csv.reader([r["header"]])))
         missing = [c for c in columns if c not in header]
+        if missing and unfit is None:
+            raise MissingColumnError(f"{r['files'][0]} has no column {', '.join(missing)}")
         if missing:
-            raise MissingColumnError(f"{f} has no column {', '.join(missing)}")
-        by_header.setdefault(header, []).extend(files if alike else [f])
+            unfit.update({f: f"has no column {', '.join(missing)}" for f in r["files"]})
+        else:
+            orders.setdefault(header, []).extend(r["files"])
     parts = [spark.read.schema(T.StructType([T.StructField(c, T.StringType()) for c in header]))
-                 .option("header", True).option("enforceSchema", False).option("nullValue", null_text).csv(group)
+                 .option("header", True).option("enforceSchema", False).option("nullValue", null_text).csv(files)
                  .select(*[F.col(f"`{c}`") for c in columns], F.col("_metadata.file_name").alias("_file"),
                          F.col("_metadata.file_modification_time").alias("_modified"))
-             for header, group in sorted(by_header.items())]
+             for header, files in sorted(orders.items())]
     if not parts:
         fields = [T.StructField(c, T.StringType()) for c in [*columns, "_file"]] + [T.StructField("_modified", T.TimestampType())]
         return spark.createDataFrame([], T.StructType(fields))
@@ -93,10 +103,11 @@ def read_station_lookup(spark: SparkSession, path: str, multi_line: bool = True)
     return raw
 
 
-def read_delay_text(spark: SparkSession, paths: str | list[str], glob: str | None = None) -> DataFrame:
+def read_delay_text(spark: SparkSession, paths: str | list[str], glob: str | None = None,
+                    unfit: dict[str, str] | None = None) -> DataFrame:
     """Delay CSVs (weekly files or the initial history) as text, by header name,
     with ``_file`` and ``_modified``."""
-    return read_csv_by_header(spark, paths, DELAYS_ALL.fieldNames(), glob=glob)
+    return read_csv_by_header(spark, paths, DELAYS_ALL.fieldNames(), glob=glob, unfit=unfit)
 
 
 def read_delay_csv(spark: SparkSession, path: str) -> DataFrame:
