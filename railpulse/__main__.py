@@ -8,6 +8,9 @@
               [--stations-csv PATH --stations PATH] [--region-config PATH --regions PATH]
     refresh   --delay-landing P --weather-landing P --delays P --weather P --stations P
               --checkpoints P --results P [--min-trains N] [--max-files N] [--strict]
+              [--regions P (the stored region configuration)] [--unified P]
+    issues    --delays P --weather P [--dismiss SUBJECT --reason TEXT]
+              (lists what keeps a refresh from running, or settles one of them by hand)
     kpis      --delays P --stations P --weather P --results P [--min-trains N]
 
 The session comes from the environment (spark-submit's master and configuration);
@@ -57,6 +60,15 @@ def _parser() -> argparse.ArgumentParser:
     r.add_argument("--max-files", type=int, help="landed files per micro-batch")
     r.add_argument("--strict", action="store_true", help="fail on a missing weather measurement")
 
+    r.add_argument("--regions", help="region table of the initial command; its ids are the regions expected")
+    r.add_argument("--unified", help="stored unified table, kept up to date by day")
+
+    o = sub.add_parser("issues")
+    for a in ("delays", "weather"):
+        o.add_argument(f"--{a}", required=True)
+    o.add_argument("--dismiss", help="subject of the issue")
+    o.add_argument("--reason", default="dismissed")
+
     k = sub.add_parser("kpis")
     for a in ("delays", "stations", "weather", "results"):
         k.add_argument(f"--{a}", required=True)
@@ -98,9 +110,19 @@ def main(argv: list[str] | None = None) -> dict:
     elif args.cmd == "refresh":
         from railpulse.streaming.refresh import RefreshPaths, refresh
         paths = RefreshPaths(args.delay_landing, args.weather_landing, args.delays, args.weather,
-                             args.stations, args.checkpoints, args.results)
+                             args.stations, args.checkpoints, args.results, args.regions, args.unified)
         out = {f"{r.step}.{r.metric}": r.value
                for r in refresh(spark, paths, args.min_trains, args.max_files, args.strict).collect()}
+    elif args.cmd == "issues":
+        from railpulse.streaming.ledger import Ledger
+        out = {}
+        for name, path in (("delays", args.delays), ("weather", args.weather)):
+            ledger = Ledger(spark, path)
+            waiting = {r["subject"]: r["reason"] for r in ledger.open_issues().collect()}
+            if args.dismiss in waiting:
+                ledger.dismiss(args.dismiss, args.reason)
+                del waiting[args.dismiss]
+            out[name] = waiting
     else:
         from railpulse.operators.unified import unified_all
         unified = unified_all(read_table(spark, args.delays, DELAYS_ALL), spark.read.parquet(args.stations),

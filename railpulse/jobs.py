@@ -55,16 +55,35 @@ def preprocess_delays(records: DataFrame, lookup: DataFrame, out_path: str,
     return DelayRunReport(before, after, before - after, pct, written, int((dated.get or {}).get("undated", 0)))
 
 
+def known_ids(spark: SparkSession, ids_path: str) -> DataFrame | None:
+    """(station_id, station_name) of the id log: a name's first id. None before the
+    first run."""
+    log = SK.read_stored(spark, ids_path)
+    return None if log is None else log.groupBy("station_name").agg(F.min("station_id").alias("station_id")).select("station_id", "station_name")
+
+
 def preprocess_stations(coords: DataFrame, stations_out: str, lookup_out: str) -> DataFrame:
     """Station coordinates -> the stations table (Parquet) and the id lookup
-    (JSON lines). Ids of a stations table that is there already are kept, new
-    names get the next ones. Returns the stations table as written."""
+    (JSON lines). Ids live in an append-only log beside the table (``<table>_ids``): new
+    names are added in one file before anything is replaced, so a run that is lost at
+    any point keeps every id given out. Returns the stations table as written."""
     spark = coords.sparkSession
-    stored = SK.read_stored(spark, stations_out)
-    if stored is not None:  # read in full before it is replaced
-        stored = S.station_lookup(stored).checkpoint(eager=True)
-    stations = S.stations_regions(require_rows(coords, "station coordinates"), stored=stored)
-    stations.checkpoint(eager=True).write.mode("overwrite").parquet(stations_out)
+    ids_path = f"{stations_out.rstrip('/')}_ids"
+    require_rows(coords, "station coordinates")
+    stored = known_ids(spark, ids_path)
+    if stored is None:  # a table from before there was a log
+        stored = SK.read_stored(spark, stations_out)
+        if stored is not None:
+            S.station_lookup(stored).coalesce(1).write.mode("append").parquet(ids_path)
+            stored = known_ids(spark, ids_path)
+    given = S.station_lookup(S.stations_regions(coords, stored=stored))
+    if stored is not None:
+        given = given.join(stored.select(F.col("station_id").alias("_id")), F.col("station_id") == F.col("_id"), "left_anti")
+    given = given.checkpoint(eager=True)
+    if not given.isEmpty():
+        given.coalesce(1).write.mode("append").parquet(ids_path)  # new names only
+    stations = S.stations_regions(coords, stored=known_ids(spark, ids_path))
+    SK.write_result(stations.checkpoint(eager=True), stations_out)
     written = spark.read.parquet(stations_out)
     SK.export_lookup_json(S.station_lookup(written), lookup_out)
     return written

@@ -11,10 +11,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from railpulse.constants import DELAYS_ALL
+from railpulse.constants import COUNTY_BOXES, DELAYS_ALL
 from railpulse.functions.names import clean_name, station_of_record
 from railpulse.operators import delays as D
+from railpulse.operators import grid as G
 from railpulse.operators import kpis as K
+from railpulse.operators import mergeable as M
 from railpulse.operators import quality as Q
 from railpulse.operators import stations as S
 from railpulse.operators import unified as U
@@ -24,6 +26,7 @@ from railpulse.session import scratch_path
 from railpulse.sources import readers as R
 from railpulse.sources import sinks as SK
 from railpulse.sources import testmap as TM
+from railpulse.streaming import incremental as INC
 
 ORACLE_MIN_TRAINS = 1
 
@@ -194,6 +197,42 @@ def q_unified_all(spark: SparkSession, sf: str) -> DataFrame:
     return Domain(spark, sf).unified()
 
 
+def q_unified_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """The stored unified table after two refreshes. The first one has the delays up to
+    the middle week, and no weather of that week yet; the second one brings that weather
+    late, and the newest delays. It rewrites only the days of both; the others stay as
+    they are."""
+    dom = Domain(spark, sf)
+    delays = dom.delays().where("date is not null").checkpoint(eager=True)
+    weather, stations = dom.weather().checkpoint(eager=True), dom.stations()
+    (_, _, _), (_, a, b), (_, c, d) = TM.LOADS
+    path = scratch_path(spark, "unified_all")
+    INC.update_unified(spark, path, delays.where(F.col("date") <= F.lit(b).cast("date")), stations, weather.where(~in_load(a, b, "date")), None)
+    changed = weather.where(in_load(a, b, "date")).select("date").union(delays.where(in_load(c, d, "date")).select("date")).distinct()
+    INC.update_unified(spark, path, delays, stations, weather, sorted(r["date"] for r in changed.collect()))  # days of a calendar
+    return SK.read_table(spark, path, INC.UNIFIED_ALL)
+
+
+def q_county_by_grid(spark: SparkSession, sf: str) -> DataFrame:
+    """Counties from the boxes as a table: a grid cover and an equi-join."""
+    coords = S.clean_coords(Domain(spark, sf).coords())
+    path = scratch_path(spark, "county_boxes")
+    spark.createDataFrame([(n, i, *map(float, box)) for i, (n, *box) in enumerate(COUNTY_BOXES)],
+                          "name STRING, priority INT, lat_min DOUBLE, lat_max DOUBLE, lon_min DOUBLE, lon_max DOUBLE").write.parquet(path)
+    return G.first_box(coords, spark.read.parquet(path)).select("station_name", "lat", "lon", "county")
+
+
+def q_kpi_median_bracketed(spark: SparkSession, sf: str) -> DataFrame:
+    return K.order_kpi_median(M.kpi_median_bracketed(Domain(spark, sf).unified()))
+
+
+def q_kpi_resilience_bitmaps(spark: SparkSession, sf: str) -> DataFrame:
+    """KPI 3 from bitmaps of days that are kept per load and merged."""
+    unified = Domain(spark, sf).unified().checkpoint(eager=True)
+    sets = M.day_sets(unified.withColumn("load", load_label("date")), M.calm_limit(unified), ["load"])
+    return M.resilience_of_day_sets(M.merged_day_sets(sets))
+
+
 def q_unified_wide(spark: SparkSession, sf: str) -> DataFrame:
     dom = Domain(spark, sf)
     return U.unified_wide(dom.delays(), dom.stations(), dom.weather())
@@ -287,6 +326,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "weather_all": q_weather_all,
     "unified_all": q_unified_all,
     "unified_wide": q_unified_wide,
+    "unified_incremental": q_unified_incremental,
+    "county_by_grid": q_county_by_grid,
+    "kpi_median_bracketed": q_kpi_median_bracketed,
+    "kpi_resilience_bitmaps": q_kpi_resilience_bitmaps,
     "kpi_median": q_kpi_median,
     "kpi_median_exact": q_kpi_median_exact,
     "weather_effect": q_weather_effect,

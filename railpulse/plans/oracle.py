@@ -255,6 +255,7 @@ SELECT CAST(ROW_NUMBER() OVER (ORDER BY CASE WHEN right(station_name, 1) IN ('0'
 FROM coords""",
     "county_of_station": with_("with_county") + "SELECT station_name, lat, lon, county FROM with_county",
     "county_by_join": with_("with_county") + "SELECT station_name, lat, lon, county FROM with_county",
+    "county_by_grid": with_("with_county") + "SELECT station_name, lat, lon, county FROM with_county",
     "region_of_county": with_("with_region") +
         "SELECT station_name, county, region, region_id FROM with_region",
     "stations_regions": with_("stations") + "SELECT * FROM stations",
@@ -263,6 +264,7 @@ FROM coords""",
     "weather_schema": with_("weather") + "SELECT * FROM weather",
     "weather_all": with_("weather") + "SELECT * FROM weather",
     "unified_all": with_("unified") + "SELECT * FROM unified",
+    "unified_incremental": with_("unified") + "SELECT * FROM unified WHERE date IS NOT NULL",
     "unified_wide": with_("delays", "stations", "weather") + f"""
 SELECT d.date, d.station_name, sr.region, sr.county, d.total_delay_minutes, d.train_count,
        d.avg_delay_minutes, w.temperature_mean_c, w.wind_gust_max_kmh, w.precipitation_sum_mm,
@@ -274,6 +276,7 @@ LEFT JOIN (SELECT *, {_REGION_NAME_CASE} AS region_name FROM weather) w
   ON d.date = w.date AND sr.region = w.region_name""",
     "kpi_median": KPI_MEDIAN,
     "kpi_median_exact": KPI_MEDIAN,
+    "kpi_median_bracketed": KPI_MEDIAN,
     "weather_effect": with_("unified") + f"""
 SELECT region, median_delay,
        ROUND(median_high_temp - median_delay, 2) AS temp_effect,
@@ -295,6 +298,7 @@ LIMIT 10""",
 SELECT ROUND(AVG(avg_delay_minutes), 6) AS calm_avg_delay, COUNT(*) AS calm_days
 FROM unified WHERE {_CALM}""",
     "kpi_resilience": _resilience(_CALM_AVG),
+    "kpi_resilience_bitmaps": _resilience(_CALM_AVG),
     "kpi_resilience_fixed": _resilience(_d(5.0)),
     "worst_region_share": with_("unified") + f"""
 SELECT region, COUNT(*) AS station_count,
