@@ -43,8 +43,8 @@ SHORTEST, LONGEST = 2, 3
 LEAST = 10
 KEEP = 2000
 COVER = 50  # per cent of a phrase's occurrences that lie within one longer phrase
-STEP = 2 << 20  # bytes of text in one buffer
-PENDING = 1 << 21  # fingerprints that a task sorts at a time
+STEP = 1 << 20  # bytes of text in one buffer
+PENDING = 1 << 20  # fingerprints that a task sorts at a time
 MOST_BITS = 1 << 27
 BITS_EACH = 32
 BUCKET = 1 << 15  # bits of Spark's bitmaps
