@@ -17,7 +17,7 @@ Scale. The texts are read once for words and pairs, once for each longer length,
 materialise; only 16-byte rows are shuffled for n-grams that are not
 frequent. Counts are combined in numpy and by the partial aggregate before each
 shuffle, so a phrase that fills a third of the input is a row per task. The bit set has
-at most ``MOST_BITS`` bits; beyond some 30 million frequent phrases it lets more others
+at most 2^27 bits; beyond some 30 million frequent phrases it lets more others
 through, which the counts by text remove. Joins are between frequent phrases only.
 
 Defined cases: a null text counts as the empty one and has no words, a null language
@@ -37,6 +37,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
+from railpulse.llm.bitset import bit_set, hit
 from railpulse.llm.common import materialise, ragged_ranges, steps, texts
 
 SHORTEST, LONGEST = 2, 3
@@ -45,9 +46,6 @@ KEEP = 2000
 COVER = 50  # per cent of a phrase's occurrences that lie within one longer phrase
 STEP = 1 << 20  # bytes of text in one buffer
 PENDING = 1 << 20  # fingerprints that a task sorts at a time
-MOST_BITS = 1 << 27
-BITS_EACH = 32
-BUCKET = 1 << 15  # bits of Spark's bitmaps
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
 ENDS = b".,;:!?\x0a\x0b\x0c\x0d"
@@ -155,11 +153,6 @@ def seeds_of(langs: list[str]) -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(x.encode(), 5) for x in langs], dtype=np.uint64)
 
 
-def hit(bits: np.ndarray, fps: np.ndarray) -> np.ndarray:
-    place = fps & np.uint64(8 * len(bits) - 1)
-    return (bits[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
-
-
 def frequent(rows: DataFrame, sizes: list[int], longest: int, least: int, known: np.ndarray | None) -> DataFrame:
     """(fp): fingerprints of n-grams of the ``sizes`` that occur ``least`` times or
     more. With ``known`` bits only n-grams are counted of which both n-grams of
@@ -193,19 +186,6 @@ def frequent(rows: DataFrame, sizes: list[int], longest: int, least: int, known:
     return rows.mapInArrow(run, "fp long, n long").groupBy("fp").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("fp")
 
 
-def bit_set(fps: DataFrame) -> np.ndarray:
-    """The fingerprints' low bits as a set of bits of bounded size."""
-    wanted = BITS_EACH * fps.count()
-    n_bits = min(MOST_BITS, max(BUCKET, 1 << max(0, wanted - 1).bit_length()))
-    place = F.col("fp").bitwiseAND(F.lit(n_bits - 1))
-    buckets = fps.select(F.shiftright(place, 15).alias("bucket"), place.bitwiseAND(BUCKET - 1).alias("bit")) \
-        .groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits"))
-    out = np.zeros(n_bits // 8, dtype=np.uint8)
-    for bucket, bits in buckets.collect():  # at most MOST_BITS / BUCKET rows
-        out[bucket * BUCKET // 8:(bucket + 1) * BUCKET // 8] = np.frombuffer(bytes(bits), dtype=np.uint8)
-    return out
-
-
 def equal(words: Words, start: np.ndarray, size: np.ndarray, other: np.ndarray, other_size: np.ndarray) -> np.ndarray:
     """Whether the bytes at two places are the same, pair by pair."""
     same = size == other_size

@@ -3,6 +3,7 @@ and materialised intermediates in the cluster's shared folder."""
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,7 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from railpulse.session import ensure_checkpoint_dir, scratch_path
+from railpulse.session import drop_scratch, ensure_checkpoint_dir, scratch_path
 
 DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 # Words: runs of anything but ASCII white space.
@@ -30,7 +31,18 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete materialised tables that nothing reads any more, and let Spark delete the
+    shuffle files of plans that are gone: it does when the driver collects its garbage."""
+    for t in tables:
+        drop_scratch(t.sparkSession, t.scratch_path)
+    gc.collect()
+    tables[0].sparkSession.sparkContext._jvm.System.gc()
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
