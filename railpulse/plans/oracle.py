@@ -276,6 +276,7 @@ LEFT JOIN (SELECT *, {_REGION_NAME_CASE} AS region_name FROM weather) w
   ON d.date = w.date AND sr.region = w.region_name""",
     "kpi_median": KPI_MEDIAN,
     "kpi_median_exact": KPI_MEDIAN,
+    "kpi_median_approx": KPI_MEDIAN,
     "kpi_median_bracketed": KPI_MEDIAN,
     "weather_effect": with_("unified") + f"""
 SELECT region, median_delay,
