@@ -17,7 +17,8 @@ window per query merges.
 Defined cases: vectors that are null or hold null or non-finite components take
 no part; of vectors of different length the shorter is filled with zeros; a
 query's own row is no candidate, another row with the same id is; equal scores
-go to the smaller vec_id; an empty table gives an empty result; extra columns are
+go to the smaller vec_id; components so large that a score may not fit 64 bits fail the
+query; an empty table gives an empty result; extra columns are
 ignored.
 """
 
@@ -56,9 +57,14 @@ class ImpactIndex:
     def __init__(self, vectors: np.ndarray, largest_query: int):
         impact = np.abs(vectors)
         most = int(impact.max(initial=0))
-        # Whole numbers: exact in floating point below its precision.
-        exact = vectors.shape[1] * most * max(largest_query, 1)
-        self.vectors = vectors.astype(np.float32 if exact < 1 << 24 else np.float64)
+        # Whole numbers: exact in floating point below its precision. Beyond it the bounds
+        # allow for rounding; scores are exact in any case.
+        largest = vectors.shape[1] * most * max(largest_query, 1)
+        if largest >= 1 << 63:
+            raise OverflowError("inner products beyond 64 bits")
+        self.rounding = 0.0 if largest < 1 << 53 else 4.0 * largest * (vectors.shape[1] + 2) * 2.0 ** -53
+        self.whole = vectors
+        self.vectors = vectors.astype(np.float32 if largest < 1 << 24 else np.float64)
         self.levels: list[tuple[int, np.ndarray]] = []  # threshold, components above it and not above the last one
         above, threshold = most + 1, most // FIRST_LEVEL
         while True:
@@ -83,7 +89,7 @@ class ImpactIndex:
             score += queries[active] @ segment
             kth = np.partition(score, n - k, axis=1)[:, n - k]
             # A row's score is within threshold * mass of what it has.
-            within = score >= (kth - 2 * threshold * mass[active])[:, None]
+            within = score >= (kth - 2 * threshold * mass[active] - self.rounding)[:, None]
             done = (within.sum(axis=1) <= few) | (threshold == 0)
             for i in np.flatnonzero(done):
                 out[active[i]] = np.flatnonzero(within[i])
@@ -101,7 +107,7 @@ def best(queries: np.ndarray, query_rows: np.ndarray, vectors: np.ndarray, rows:
         batch = queries[start:start + QUERY_STEP]
         for i, members in enumerate(index.possible(batch, k + 1), start):  # its own row may be among them
             members = members[rows[members] != query_rows[i]]
-            score = (index.vectors[members] @ queries[i].astype(index.vectors.dtype)).astype(np.int64)
+            score = index.whole[members] @ queries[i]
             at = np.lexsort((ids[members], -score))[:k]
             out_q.append(np.full(len(at), i))
             out_id.append(ids[members][at])

@@ -220,3 +220,19 @@ def test_taken_words_come_near_the_target(spark):
 def test_mixing_is_native(spark):
     plan = mixing.mix_sources(documents(spark, [(1, "a b", "en", "x")]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_top_k_beyond_the_precision_of_doubles(spark):
+    rng = np.random.default_rng(6)
+    whole = rng.integers(-(1 << 22), 1 << 22, (300, 8))
+    whole[100:200] = whole[:100] + rng.integers(0, 2, (100, 8))  # scores that differ in the last digits
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(whole.tolist())]
+    got = sorted(tuple(r) for r in topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect())
+    big = whole.astype(object) * 64
+    want = []
+    for q in range(0, 300, 20):
+        best = sorted((-int(big[q] @ big[i]), i) for i in range(300) if i != q)[:20]
+        want += [(q, n, i, -s) for n, (s, i) in enumerate(best, 1)]
+    assert got == want and max(s for *_, s in want) > 1 << 53
+    with pytest.raises(Exception, match="beyond 64 bits"):
+        topk.top_k(spark.createDataFrame([(0, [1e12]), (20, [1e12])], "vec_id long, embedding array<double>")).collect()
